@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import SPACE, let, n_words, small, staged, table, words
+from ._shared import let, small, staged, table, words
 
 RISK, DELTA = 0.05, 0.05
 MIN_WORDS, MAX_REPEATED = 10, 20
@@ -56,28 +56,27 @@ def with_statistics(docs: DataFrame) -> DataFrame:
     A null text counts as empty: no words, and so base_failed.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    count = lambda pattern: F.regexp_count(text, F.lit(pattern))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD_CHAR))
     dup = let(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))
-    counts = F.struct(
-        n_words(F.col("text")).alias("n_words"),
-        (F.length(text) - count(SPACE)).cast("long").alias("word_chars"),
-        count(SYMBOLS).cast("long").alias("n_symbols"),
-        dup.alias("lines"),
-        let(words(text), repeated_words).cast("long").alias("n_repeat_words"),
-        count(r"\p{Lu}").alias("n_upper"),
-        count("[!?]").alias("n_bangs"),
+    # What the character counts look at is cut out in one pass; little of a text is left.
+    marks = F.regexp_replace(text, r"[^#*$%&|<>!?\p{Lu}]+", "")
+    of_words = lambda ws: F.struct(
+        F.size(ws).cast("long").alias("n"),
+        F.length(F.array_join(ws, "")).cast("long").alias("chars"),
+        repeated_words(ws).cast("long").alias("repeated"),
     )
+    counts = F.struct(let(words(text), of_words).alias("words"), dup.alias("lines"), marks.alias("marks"))
 
     def finish(c: Column) -> Column:
-        chars, n = F.greatest(c["word_chars"], F.lit(1)), F.greatest(c["n_words"], F.lit(1))
+        w, marked = c["words"], lambda pattern: F.regexp_count(c["marks"], F.lit(pattern)).cast("long")
+        chars, n = F.greatest(w["chars"], F.lit(1)), F.greatest(w["n"], F.lit(1))
         return F.struct(
-            c["n_words"].alias("n_words"), c["word_chars"].alias("word_chars"), c["n_symbols"].alias("n_symbols"),
-            c["lines"]["dup"].cast("long").alias("n_dup_lines"), c["n_repeat_words"].alias("n_repeat_words"),
-            ((c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEATED * c["n_words"])).alias("base_failed"),
+            w["n"].alias("n_words"), w["chars"].alias("word_chars"), marked(SYMBOLS).alias("n_symbols"),
+            c["lines"]["dup"].cast("long").alias("n_dup_lines"), w["repeated"].alias("n_repeat_words"),
+            ((w["n"] < MIN_WORDS) | (100 * w["repeated"] > MAX_REPEATED * w["n"])).alias("base_failed"),
             F.array(
-                c["n_symbols"] / chars, c["n_upper"] / chars, c["n_bangs"] / chars,
-                c["lines"]["dup"] / F.greatest(c["lines"]["n"], F.lit(1)), c["n_repeat_words"] / n,
+                marked(SYMBOLS) / chars, marked(r"\p{Lu}") / chars, marked("[!?]") / chars,
+                c["lines"]["dup"] / F.greatest(c["lines"]["n"], F.lit(1)), w["repeated"] / n,
             ).alias("shares"),
         )
 
@@ -109,10 +108,13 @@ def labelled(labels: DataFrame) -> DataFrame:
 
 
 def learn_cutoffs(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA, shares=SHARES) -> DataFrame:
-    """(stratum, cutoffs): for each rule its certified cut-off, null where none is."""
-    known = docs.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("stratum")).join(labelled(labels), "doc_id")
+    """(stratum, cutoffs): for each rule its certified cut-off, null where none is. `docs` may have `_q`
+    already; else only labelled texts are read through."""
+    known = docs.select("doc_id", "_q" if "_q" in docs.columns else "text", F.coalesce("lang", F.lit("")).alias("stratum"))
+    known = known.join(labelled(labels), "doc_id")
     grid = F.array(*map(F.lit, shares))
-    rows = with_statistics(known).where("NOT _q.base_failed").select("stratum", "good", F.posexplode("_q.shares").alias("rule", "share"))
+    known = known if "_q" in docs.columns else with_statistics(known)
+    rows = known.where("NOT _q.base_failed").select("stratum", "good", F.posexplode("_q.shares").alias("rule", "share"))
     reached = F.size(F.filter(grid, lambda c: F.col("share") >= c))
     bars = rows.groupBy("stratum", "rule", reached.alias("reached")).agg(
         F.sum(F.when(F.col("good") > 0, 1).otherwise(0)).alias("good"), F.sum(F.when(F.col("good") > 0, 0).otherwise(1)).alias("bad")
@@ -137,7 +139,7 @@ def learn_cutoffs(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta:
 
 def judged(docs: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """`docs` with `_q` and `_kept`. `cutoffs` (a staged table) is broadcast if its row count allows."""
-    stats = with_statistics(docs)
+    stats = docs if "_q" in docs.columns else with_statistics(docs)
     cuts = small(cutoffs).select(F.col("stratum").alias("_stratum"), F.col("cutoffs").alias("_cutoffs"))
     joined = stats.join(cuts, F.coalesce(stats["lang"], F.lit("")) == cuts["_stratum"], "left")
     over = F.exists(F.arrays_zip(F.col("_q.shares").alias("s"), F.col("_cutoffs").alias("c")), lambda z: z["s"] >= z["c"])
@@ -149,7 +151,8 @@ def rules_for(spark, sf_dir: str, docs: DataFrame) -> DataFrame:
 
 
 def op4_quality_rules(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = with_statistics(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("text")
+    docs = staged(docs, "quality-statistics")
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
     return judged(docs, rules_for(spark, sf_dir, docs)).select("doc_id", *(f"_q.{f}" for f in fields), F.col("_kept").alias("kept"))
 
