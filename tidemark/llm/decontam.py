@@ -58,14 +58,15 @@ def context(ws: Column, at: Column, span: Column, k: Column) -> Column:
 def _exploded(df: DataFrame, classes: list[int], marker: Column | None = None, own: Column | None = None) -> DataFrame:
     """`df` (with `words`) with a row for each fingerprint: span, hash, at."""
     def of(span: int) -> Column:
-        found = F.transform(fingerprints(F.col("words"), span), lambda v: F.struct(F.lit(span).alias("span"), v.alias("v")))
+        found = F.transform(let(F.col("words"), lambda ws: fingerprints(ws, span)), lambda v: F.struct(F.lit(span).alias("span"), v.alias("v")))
         return found if own is None else F.when(own == span, found).otherwise(F.array().cast("array<struct<span:int,v:bigint>>"))
 
     parts = [of(s) for s in classes]
     if marker is not None:
         parts.append(F.array(F.struct(F.lit(0).alias("span"), (F.shiftleft(marker.cast("long"), 32) + LAST).alias("v"))))
     listed = df.withColumn("_f", F.concat(*parts) if len(parts) > 1 else parts[0])
-    rows = listed.withColumn("_e", F.explode("_f")).drop("_f")
+    # The outer form: for the inner one Spark infers a filter on the array's size, which would compute it twice.
+    rows = listed.withColumn("_e", F.explode_outer("_f")).drop("_f")
     return rows.select(
         *df.columns, F.col("_e.span").alias("span"), F.shiftright("_e.v", 32).cast("int").alias("h"),
         (F.lit(LAST) - F.col("_e.v").bitwiseAND(F.lit(LAST))).cast("int").alias("at"),
@@ -81,7 +82,7 @@ def benchmark_index(items: DataFrame) -> tuple[DataFrame, list[int]]:
     k = F.greatest(F.lit(1), F.expr("span div 2").cast("int"))
     index = rows.select("span", "h", context(F.col("words"), F.col("at"), F.col("span"), k).alias("theirs"), "item")
     marks = items.sparkSession.range(MARKERS).select(F.lit(0).alias("span"), F.col("id").cast("int").alias("h"), F.lit(None).cast(index.schema["theirs"].dataType).alias("theirs"), F.lit(None).cast("string").alias("item"))
-    return staged(index.distinct().unionByName(marks), "benchmark-index"), classes or [SPAN]
+    return staged(index.where("span IS NOT NULL").distinct().unionByName(marks), "benchmark-index"), classes or [SPAN]
 
 
 def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -95,29 +96,23 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     read = read.withColumn("n_words", F.size("words").cast("long"))
     rows = _exploded(read, classes, marker=F.pmod("text_hash", F.lit(MARKERS)))
     joined = rows.join(small(index), ["span", "h"])
-    k = F.greatest(F.lit(1), F.expr("span div 2").cast("int"))
-    placed = joined.select("doc_id", "text_hash", "n_words", "span", "at", k.alias("k"), "item", "theirs", context(F.col("words"), F.col("at"), F.col("span"), k).alias("ours"))
+    def run_of(pair: Column) -> Column:
+        """struct(start, end) of the run of equal words around the gram, null if it is too short."""
+        same = lambda t: F.get(pair["ours"]["words"], pair["ours"]["left"] + t) == F.get(pair["theirs"]["words"], pair["theirs"]["left"] + t)
 
-    def reach(step: int) -> Column:
-        """How many words further the two texts agree, to the left (-1) or the right (+1) of the gram."""
-        def more(a: Column, t: Column) -> Column:
-            off = -t if step < 0 else F.col("k") - 1 + t
-            same = F.get(F.col("ours.words"), F.col("ours.left") + off) == F.get(F.col("theirs.words"), F.col("theirs.left") + off)
-            return F.when((a == t - 1) & same, t).otherwise(a)
+        def reach(step: int) -> Column:
+            """How many words further the two texts agree, to the left (-1) or the right (+1) of the gram."""
+            more = lambda a, t: F.when((a == t - 1) & same(-t if step < 0 else k - 1 + t), t).otherwise(a)
+            return F.when(F.col("span") > k, F.aggregate(F.sequence(F.lit(1), F.col("span") - k), F.lit(0), more)).otherwise(F.lit(0))
 
-        return F.when(F.col("span") > F.col("k"), F.aggregate(F.sequence(F.lit(1), F.col("span") - F.col("k")), F.lit(0), more)).otherwise(F.lit(0))
+        ends = let(F.struct(reach(-1).alias("left"), reach(1).alias("right")), lambda r: F.when(
+            r["left"] + k + r["right"] >= F.col("span"), F.struct((F.col("at") - r["left"]).alias("start"), (F.col("at") + k + r["right"]).alias("end"))))
+        return F.when(F.forall(F.sequence(F.lit(0), k - 1), same), ends)
 
-    equal = F.forall(
-        F.sequence(F.lit(0), F.col("k") - 1),
-        lambda t: F.get(F.col("ours.words"), F.col("ours.left") + t) == F.get(F.col("theirs.words"), F.col("theirs.left") + t),
-    )
-    run = placed.withColumn("left", F.when(F.col("span") > 0, reach(-1))).withColumn("right", F.when(F.col("span") > 0, reach(1)))
-    long_enough = (F.col("span") > 0) & equal & (F.col("left") + F.col("k") + F.col("right") >= F.col("span"))
-    span = F.struct((F.col("at") - F.col("left")).alias("start"), (F.col("at") + F.col("k") + F.col("right")).alias("end"))
-    found = run.select(
-        "doc_id", "text_hash", "n_words", (F.col("span") == 0).cast("int").alias("mark"),
-        F.when(long_enough, span).alias("run"), F.when(long_enough, F.col("item")).alias("item"),
-    ).where("mark = 1 OR run IS NOT NULL")
+    k = F.greatest(F.lit(1), F.expr("span div 2").cast("int"))
+    pair = F.struct(context(F.col("words"), F.col("at"), F.col("span"), k).alias("ours"), F.col("theirs").alias("theirs"))
+    run = joined.select("doc_id", "text_hash", "n_words", "span", "item", F.when(F.col("span") > 0, let(pair, run_of)).alias("run"))
+    found = run.where("span = 0 OR run IS NOT NULL").withColumn("mark", (F.col("span") == 0).cast("int"))
     return found.groupBy("doc_id", "text_hash").agg(
         F.sum("mark").alias("copies"), F.max("n_words").alias("n_words"),
         F.sort_array(F.collect_set("run")).alias("spans"), F.sort_array(F.collect_set("item")).alias("items"),

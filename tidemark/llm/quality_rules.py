@@ -114,7 +114,9 @@ def learn_cutoffs(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta:
     known = known.join(labelled(labels), "doc_id")
     grid = F.array(*map(F.lit, shares))
     known = known if "_q" in docs.columns else with_statistics(known)
-    rows = known.where("NOT _q.base_failed").select("stratum", "good", F.posexplode("_q.shares").alias("rule", "share"))
+    # The outer form: for the inner one Spark infers a filter, which would compute the statistics twice.
+    tested = F.when(~F.col("_q.base_failed"), F.col("_q.shares"))
+    rows = known.select("stratum", "good", F.posexplode_outer(tested).alias("rule", "share")).where("rule IS NOT NULL")
     reached = F.size(F.filter(grid, lambda c: F.col("share") >= c))
     bars = rows.groupBy("stratum", "rule", reached.alias("reached")).agg(
         F.sum(F.when(F.col("good") > 0, 1).otherwise(0)).alias("good"), F.sum(F.when(F.col("good") > 0, 0).otherwise(1)).alias("bad")
