@@ -49,28 +49,37 @@ def fingerprints(ws: Column, span: int) -> Column:
     return F.when(F.size(ws) >= span, F.array_distinct(let(grams, least))).otherwise(F.array().cast("array<bigint>"))
 
 
-def context(ws: Column, at: Column, span: Column, k: Column) -> Column:
+def context(ws: Column, at: Column, span: int) -> Column:
     """The words around a gram: `left` of them before it (at most span - k), and as many after."""
-    left = F.greatest(F.lit(0), F.least(at, span - k))
+    room = span - gram(span)
+    left = F.least(at, F.lit(room))
     return F.struct(F.slice(ws, at - left + 1, left + span).alias("words"), left.alias("left"))
 
 
 def _exploded(df: DataFrame, classes: list[int], marker: Column | None = None, own: Column | None = None) -> DataFrame:
-    """`df` (with `words`) with a row for each fingerprint: span, hash, at."""
+    """`df` without its `words`, with a row for each fingerprint: span, h, at, and the words around it. The rows
+    carry those few words and not the text, which a long document would multiply by its length."""
+    around = "struct<span:int,h:int,at:int,ctx:struct<words:array<string>,left:int>>"
+
     def of(span: int) -> Column:
-        found = F.transform(let(F.col("words"), lambda ws: fingerprints(ws, span)), lambda v: F.struct(F.lit(span).alias("span"), v.alias("v")))
-        return found if own is None else F.when(own == span, found).otherwise(F.array().cast("array<struct<span:int,v:bigint>>"))
+        def located(ws: Column) -> Column:
+            at = lambda v: (F.lit(LAST) - v.bitwiseAND(F.lit(LAST))).cast("int")
+            one = lambda v: F.struct(
+                F.lit(span).alias("span"), F.shiftright(v, 32).cast("int").alias("h"), at(v).alias("at"), context(ws, at(v), span).alias("ctx")
+            )
+            return F.transform(fingerprints(ws, span), one)
+
+        found = let(F.col("words"), located)
+        return found if own is None else F.when(own == span, found).otherwise(F.array().cast(f"array<{around}>"))
 
     parts = [of(s) for s in classes]
     if marker is not None:
-        parts.append(F.array(F.struct(F.lit(0).alias("span"), (F.shiftleft(marker.cast("long"), 32) + LAST).alias("v"))))
-    listed = df.withColumn("_f", F.concat(*parts) if len(parts) > 1 else parts[0])
+        nothing = F.lit(None).cast("struct<words:array<string>,left:int>")
+        parts.append(F.array(F.struct(F.lit(0).alias("span"), marker.cast("int").alias("h"), F.lit(0).alias("at"), nothing.alias("ctx"))))
+    kept = [c for c in df.columns if c != "words"]
+    listed = df.select(*kept, (F.concat(*parts) if len(parts) > 1 else parts[0]).alias("_f"))
     # The outer form: for the inner one Spark infers a filter on the array's size, which would compute it twice.
-    rows = listed.withColumn("_e", F.explode_outer("_f")).drop("_f")
-    return rows.select(
-        *df.columns, F.col("_e.span").alias("span"), F.shiftright("_e.v", 32).cast("int").alias("h"),
-        (F.lit(LAST) - F.col("_e.v").bitwiseAND(F.lit(LAST))).cast("int").alias("at"),
-    )
+    return listed.select(*kept, F.explode_outer("_f").alias("_e")).select(*kept, "_e.*")
 
 
 def benchmark_index(items: DataFrame) -> tuple[DataFrame, list[int]]:
@@ -79,8 +88,7 @@ def benchmark_index(items: DataFrame) -> tuple[DataFrame, list[int]]:
     worded = staged(worded.where(F.size("words") > 0).withColumn("own", F.least(F.lit(SPAN), F.size("words"))), "benchmark-words")
     classes = sorted(r[0] for r in worded.select("own").distinct().collect())
     rows = _exploded(worded, classes or [SPAN], own=F.col("own"))
-    k = F.greatest(F.lit(1), F.expr("span div 2").cast("int"))
-    index = rows.select("span", "h", context(F.col("words"), F.col("at"), F.col("span"), k).alias("theirs"), "item")
+    index = rows.select("span", "h", F.col("ctx").alias("theirs"), "item")
     marks = items.sparkSession.range(MARKERS).select(F.lit(0).alias("span"), F.col("id").cast("int").alias("h"), F.lit(None).cast(index.schema["theirs"].dataType).alias("theirs"), F.lit(None).cast("string").alias("item"))
     return staged(index.where("span IS NOT NULL").distinct().unionByName(marks), "benchmark-index"), classes or [SPAN]
 
@@ -110,7 +118,7 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
         return F.when(F.forall(F.sequence(F.lit(0), k - 1), same), ends)
 
     k = F.greatest(F.lit(1), F.expr("span div 2").cast("int"))
-    pair = F.struct(context(F.col("words"), F.col("at"), F.col("span"), k).alias("ours"), F.col("theirs").alias("theirs"))
+    pair = F.struct(F.col("ctx").alias("ours"), F.col("theirs").alias("theirs"))
     run = joined.select("doc_id", "text_hash", "n_words", "span", "item", F.when(F.col("span") > 0, let(pair, run_of)).alias("run"))
     found = run.where("span = 0 OR run IS NOT NULL").withColumn("mark", (F.col("span") == 0).cast("int"))
     return found.groupBy("doc_id", "text_hash").agg(
