@@ -5,16 +5,21 @@ queries() maps opN_<name> to its query over the tables of a folder, oracle_sql()
 
 from __future__ import annotations
 
-from . import chat, decontam, licences, mixing, quality_rules
+from . import chat, decontam, licences, line_dedup, main_text, mixing, quality_model, quality_rules, set_join, token_tables
 
 QUERIES = {
     f.__name__: f
     for f in (
         mixing.op1_mix_sources,
+        main_text.op2_main_text,
+        quality_model.op3_quality_model,
         quality_rules.op4_quality_rules,
         chat.op5_preference_pairs,
+        line_dedup.op6_line_dedup,
+        token_tables.op7_token_tables,
         licences.op8_licence_scan,
         decontam.op9_decontaminate,
+        set_join.op10_jaccard_join,
     )
 }
 SQL = {
