@@ -38,6 +38,9 @@ SLOTS = 1 << 20
 SLICES = 64
 SHAPE = 1024
 CHUNK = 1024
+#: Sets beyond LONG shingles fill the bitmap, so pairs of them must instead meet in SHARED lists; they are posted under
+#: SHARED - 1 more shingles for that. A list with more than CROWD of them joins them all, as a filter may only add.
+LONG, SHARED, CROWD = 1400, 4, 64
 
 
 def sets_of(texts: list[bytes]) -> Iterator[np.ndarray]:
@@ -52,8 +55,8 @@ def sets_of(texts: list[bytes]) -> Iterator[np.ndarray]:
 
 def class_of(found: np.ndarray) -> int:
     """The key of a set: two sums over its members, mixed."""
-    total = np.sum(mix(found ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
-    return int(mix(np.array([total ^ np.sum(found * found, dtype=np.uint64) ^ np.uint64(len(found))])).view(np.int64)[0])
+    total = np.sum(mix(found ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64, keepdims=True) * np.uint64(0xD1342543DE82EF95)
+    return int(mix(total ^ np.sum(found * found, dtype=np.uint64) ^ np.uint64(len(found))).view(np.int64)[0])
 
 
 def needed(n: int) -> int:
@@ -63,11 +66,12 @@ def needed(n: int) -> int:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(SLOTS, np.int64)
+    slot = np.uint64(SLOTS - 1)
     for batch in batches:
-        for found in sets_of(texts_of(batch.column(0))):
-            counts += np.bincount((found & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS) if len(found) > SLOTS // 8 else 0
-            if len(found) <= SLOTS // 8:
-                np.add.at(counts, (found & np.uint64(SLOTS - 1)).astype(np.int64), 1)
+        texts = texts_of(batch.column(0))
+        for start, stop in pieces(texts, 8 << 20):
+            found = np.concatenate([*sets_of(texts[start:stop]), np.empty(0, np.uint64)])
+            counts += np.bincount((found & slot).astype(np.int64), minlength=SLOTS)
     if counts.any():
         parts = np.minimum(counts, 2**32 - 1).astype("<u4").reshape(SLICES, -1)
         yield pa.RecordBatch.from_pydict({"slice": pa.array(range(SLICES), pa.int32()), "counts": pa.array([p.tobytes() for p in parts], pa.binary())})
@@ -107,7 +111,8 @@ def summaries(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                 order = np.lexsort((found, level[(found & np.uint64(SLOTS - 1)).astype(np.int64)]))
                 keys.append(class_of(found))
                 sizes.append(n)
-                prefixes.append(found[order[: n - needed(n) + 1 if n else 0]].view(np.int64))
+                more = SHARED - 1 if n > LONG else 0
+                prefixes.append(found[order[: n - needed(n) + 1 + more if n else 0]].view(np.int64))
                 shape = np.zeros(SHAPE, np.uint8)
                 shape[(found >> np.uint64(40)) % np.uint64(SHAPE)] = 1
                 bits.append(np.packbits(shape).tobytes())
@@ -160,13 +165,15 @@ def stars(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stars of the pairs in each list that sizes and bitmaps allow. Rows: token, lo, hi, chunk, cls, n, bits."""
+    """The pairs in each list that sizes and bitmaps allow, as stars that count SHARED, and pairs of long sets as one each.
+    Rows: token, lo, hi, chunk, cls, n, bits."""
     for t in grouped(batches, ["token", "lo", "hi"], 8192):
         rows = t.num_rows
         token, lo, hi, chunk, cls, n = (t.column(c).to_numpy() for c in ("token", "lo", "hi", "chunk", "cls", "n"))
         bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(rows, -1)
         first = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
         stop = np.repeat(np.r_[first[1:], rows], np.diff(np.r_[first, rows]))
+        crowd = np.repeat(np.add.reduceat((n > LONG).astype(np.int64), first), np.diff(np.r_[first, rows]))
         left = np.arange(rows)
         left_all, right_all = [], []
         step = 0
@@ -179,12 +186,17 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, b = left[ok], right[ok]
             apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
             ok = (100 + PERCENT) * apart <= (100 - PERCENT) * (n[a] + n[b])
-            left_all.append(a[ok])
-            right_all.append(b[ok])
+            a, b = a[ok], b[ok]
+            both = (n[a] > LONG) & (n[b] > LONG) & (crowd[a] <= CROWD)
+            if both.any():
+                x, y = cls[a[both]], cls[b[both]]
+                yield pa.RecordBatch.from_pydict({"a": np.maximum(x, y), "b": np.minimum(x, y), "n": np.ones(len(x), np.int64)})
+            left_all.append(a[~both])
+            right_all.append(b[~both])
         if left_all and (a := np.concatenate(left_all)).size:
             label = stars(rows, a, np.concatenate(right_all))
             far = np.flatnonzero(label != np.arange(rows))
-            yield pa.RecordBatch.from_pydict({"a": cls[far], "b": cls[label[far]]})
+            yield pa.RecordBatch.from_pydict({"a": cls[far], "b": cls[label[far]], "n": np.full(len(far), SHARED, np.int64)})
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -294,7 +306,8 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     posted = classes.select(F.explode_outer("prefix").alias("token"), "cls")
     lists = staged(chunked(posted, "token", ["cls"]), "set-lists")
     carried = lists.join(classes.select("cls", "n", "bits"), "cls").select("token", "lo", "hi", "chunk", "cls", "n", "bits")
-    near = staged(together(carried, ["token", "lo", "hi"], _joined, "a long, b long"), "set-near")
+    near = together(carried, ["token", "lo", "hi"], _joined, "a long, b long, n long")
+    near = staged(near.groupBy("a", "b").agg(F.sum("n").alias("n")).where(f"n >= {SHARED}").select("a", "b"), "set-near")
     blocks = components(near)
     members = blocks.join(classes.select("cls", "doc_id", "n"), blocks["id"] == F.col("cls")).select(F.col("label").alias("block"), "cls", "n", F.col("doc_id").alias("rep"))
     members = staged(chunked(members, "block", ["n", "cls"]), "set-members")
