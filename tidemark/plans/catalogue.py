@@ -1,2 +1,313 @@
+"""Every query over the driver's tables, with the same in DuckDB's SQL. The tables stand in for the streams: events are
+trades (type = product, value = price), orders and customers are authorisations, line items are log records."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.functions import decode, names, rules
+from tidemark.functions.rules import Rule
+from tidemark.operators import aggregates, asof, checks, merge, reconcile
+
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def money(*columns: str) -> list:
+    return [F.round(F.col(c).cast("double"), 6).alias(c) for c in columns]
+
+
+def trades(spark, d) -> DataFrame:
+    return read(spark, d, "events").select(
+        F.col("event_type").alias("product_id"), F.col("event_id").alias("trade_id"), F.col("value").cast("decimal(30,12)").alias("price"),
+        (F.col("event_id") % 10 + 1).cast("decimal(30,12)").alias("size"), F.col("ts").alias("trade_time"),
+    )
+
+
+def _candles(spark, d, bucket) -> DataFrame:
+    c = aggregates.candles(trades(spark, d), bucket)
+    return c.select("product_id", F.col("bucket").cast("timestamp_ntz").alias("bucket"), *money("open", "high", "low", "close", "volume", "notional", "vwap"), "trades")
+
+
+def _candles_sql(bucket: str) -> str:
+    return f"""
+    WITH t AS (SELECT event_type AS product_id, event_id, value::DECIMAL(18,6) AS price, event_id % 10 + 1 AS size, ts FROM events),
+    g AS (SELECT product_id, date_trunc('{bucket}', ts) AS bucket, arg_min(price, (ts, event_id)) AS open, max(price) AS high, min(price) AS low,
+                 arg_max(price, (ts, event_id)) AS close, sum(size)::DOUBLE AS volume, sum(price * size)::DOUBLE AS notional, count(*) AS trades FROM t GROUP BY ALL)
+    SELECT product_id, bucket, round(open::DOUBLE, 6) AS open, round(high::DOUBLE, 6) AS high, round(low::DOUBLE, 6) AS low, round(close::DOUBLE, 6) AS close,
+           round(volume, 6) AS volume, round(notional, 6) AS notional, round(least(greatest(notional / volume, low::DOUBLE), high::DOUBLE), 6) AS vwap, trades FROM g"""
+
+
+@query(_candles_sql("hour"))
+def candles_1h(spark, d):
+    return _candles(spark, d, "HOUR")
+
+
+@query(_candles_sql("minute"))
+def candles_1m(spark, d):
+    return _candles(spark, d, "MINUTE")
+
+
+EVENT_RULES = [
+    Rule("value is too small", "value IS NULL OR value <= 5"),
+    Rule("k is too large", "k IS NULL OR k > 90"),
+    Rule("type is unknown", "event_type NOT IN ('click', 'view', 'purchase', 'signup')"),
+    Rule("user is blocked", "user_id % 7 = 3"),
+]
+REASON_SQL = """CASE WHEN value IS NULL OR value <= 5 THEN 'value is too small' WHEN k IS NULL OR k > 90 THEN 'k is too large'
+  WHEN event_type NOT IN ('click', 'view', 'purchase', 'signup') THEN 'type is unknown' WHEN user_id % 7 = 3 THEN 'user is blocked' END"""
+JUDGED_SQL = f"WITH e AS (SELECT *, (props->>'$.k')::BIGINT AS k FROM events), j AS (SELECT *, {REASON_SQL} AS reject_reason FROM e) "
+
+
+def _judged(spark, d) -> DataFrame:
+    return rules.judged(read(spark, d, "events").withColumn("k", F.from_json("props", "k bigint")["k"]), EVENT_RULES)
+
+
+@query(JUDGED_SQL + "SELECT event_id, reject_reason AS reason FROM j WHERE reject_reason IS NOT NULL")
+def reject_reasons(spark, d):
+    return rules.split(_judged(spark, d))[1].select("event_id", F.col("reject_reason").alias("reason"))
+
+
+@query(JUDGED_SQL + "SELECT event_id, event_type, k, value FROM j WHERE reject_reason IS NULL")
+def valid_events(spark, d):
+    return rules.split(_judged(spark, d))[0].select("event_id", "event_type", "k", "value")
+
+
+@query(JUDGED_SQL + "SELECT coalesce(reject_reason, 'valid') AS reason, count(*) AS n FROM j GROUP BY 1")
+def rule_totals(spark, d):
+    return _judged(spark, d).groupBy(F.coalesce("reject_reason", F.lit("valid")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(JUDGED_SQL + """SELECT event_type AS key, '{"reason":"' || reject_reason || '","topic":"events","partition":' || (user_id % 4)::VARCHAR || ',"offset":' || event_id::VARCHAR || ',"payload":"' || replace(props, '"', chr(92) || '"') || '"}' AS value
+  FROM j WHERE reject_reason IS NOT NULL""")
+def dlq_json(spark, d):
+    rejected = rules.split(_judged(spark, d))[1]
+    rows = rejected.select(F.col("reject_reason").alias("reason"), F.col("event_type").alias("kafka_key"), (F.col("user_id") % 4).alias("kafka_partition"), F.col("event_id").alias("kafka_offset"), F.col("props").alias("payload"))
+    return decode.dead_letters(rows, "events")
+
+
+@query("SELECT user_id, event_type, min(event_id) AS event_id, arg_min(value, (ts, event_id)) AS value FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 3 = 0) GROUP BY 1, 2 HAVING arg_min(event_id, (ts, event_id)) IS NOT NULL".replace("min(event_id) AS event_id", "arg_min(event_id, (ts, event_id)) AS event_id"))
+def dedup_first(spark, d):
+    e = read(spark, d, "events")
+    return rules.first_by(e.unionByName(e.where("event_id % 3 = 0")), ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id", "value")
+
+
+@query("SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY 1, 2")
+def dedup_latest(spark, d):
+    e = read(spark, d, "events").withColumn("age", -F.unix_micros(F.col("ts").cast("timestamp")))
+    return rules.first_by(e, ["user_id", "event_type"], ["age", "-event_id"]).select("user_id", "event_type", "event_id", "value")
+
+
+RATES_SQL = """WITH f AS (SELECT event_id, 'C' || (user_id % 6)::VARCHAR AS currency, ts::DATE AS day FROM events),
+  r AS (SELECT 'C' || (user_id % 5)::VARCHAR AS quote, ts::DATE AS rate_date, round(avg(value), 4) AS rate FROM events WHERE dayofweek(ts) BETWEEN 1 AND 5 AND day(ts) % 9 < 3 GROUP BY 1, 2)
+  SELECT event_id, currency, day, rate_date, rate FROM (SELECT f.*, r.rate_date, r.rate, row_number() OVER (PARTITION BY event_id ORDER BY r.rate_date DESC NULLS LAST) AS n
+    FROM f LEFT JOIN r ON currency = quote AND r.rate_date <= day AND r.rate_date > day - 7) WHERE n = 1"""
+
+
+def _facts_and_rates(spark, d) -> tuple[DataFrame, DataFrame]:
+    e = read(spark, d, "events").withColumn("day", F.to_date("ts"))
+    name = lambda n: F.concat(F.lit("C"), (F.col("user_id") % n).cast("string"))
+    weekdays = e.where("dayofweek(ts) BETWEEN 2 AND 6 AND day(ts) % 9 < 3")
+    rates = weekdays.groupBy(name(5).alias("quote"), F.col("day").alias("rate_date")).agg(F.round(F.avg("value"), 4).alias("rate"))
+    return e.select("event_id", name(6).alias("currency"), "day"), rates
+
+
+@query(RATES_SQL)
+def fx_asof_interval(spark, d):
+    facts, rates = _facts_and_rates(spark, d)
+    return asof.asof_interval(facts, rates, "currency", "day", "quote", "rate_date").select("event_id", "currency", "day", "rate_date", "rate")
+
+
+@query(RATES_SQL)
+def fx_asof_window(spark, d):
+    facts, rates = _facts_and_rates(spark, d)
+    return asof.asof_window(facts, rates, "currency", "day", "quote", "rate_date", ["event_id"]).select("event_id", "currency", "day", "rate_date", "rate")
+
+
+@query("""SELECT o_orderdate::DATE AS auth_date, c_mktsegment AS segment, o_orderpriority AS priority, count(*) AS auths, count(*) FILTER (WHERE o_orderstatus = 'F') AS approved,
+  round(count(*) FILTER (WHERE o_orderstatus = 'F') / count(*), 4) AS approval_rate, round(sum(o_totalprice::DECIMAL(18,2))::DOUBLE, 2) AS amount_eur,
+  round(coalesce(sum(o_totalprice::DECIMAL(18,2)) FILTER (WHERE o_orderstatus = 'F'), 0)::DOUBLE, 2) AS approved_amount_eur
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3""")
+def daily_rollup(spark, d):
+    o, c = read(spark, d, "orders"), read(spark, d, "customer")
+    rows = o.join(c, o["o_custkey"] == c["c_custkey"]).select(
+        F.col("o_orderdate").alias("auth_time"), F.col("c_mktsegment").alias("segment"), F.col("o_orderpriority").alias("priority"),
+        (F.col("o_orderstatus") == "F").alias("approved"), F.col("o_totalprice").cast("decimal(18,2)").alias("amount_eur"),
+    )
+    cast = [F.round(F.col(x).cast("double"), 2).alias(x) for x in ("amount_eur", "approved_amount_eur")]
+    return aggregates.daily(rows, ["segment", "priority"]).select("auth_date", "segment", "priority", "auths", "approved", "approval_rate", *cast)
+
+
+@query("""SELECT o_custkey AS merchant_id, arg_max(o_orderpriority, (o_orderdate, o_orderpriority, o_orderstatus)) AS merchant_name, count(*) AS auths,
+  round(sum(o_totalprice::DECIMAL(18,2))::DOUBLE, 2) AS amount_eur, min(o_orderdate) AS first_auth, max(o_orderdate) AS last_auth FROM orders GROUP BY 1""")
+def customer_rollup(spark, d):
+    rows = read(spark, d, "orders").select(
+        F.col("o_custkey").alias("merchant_id"), F.col("o_orderpriority").alias("merchant_name"), F.col("o_orderstatus").alias("merchant_country"),
+        F.col("o_orderdate").alias("auth_time"), F.col("o_totalprice").cast("decimal(18,2)").alias("amount_eur"),
+    )
+    return aggregates.merchants(rows).select("merchant_id", "merchant_name", "auths", F.round(F.col("amount_eur").cast("double"), 2).alias("amount_eur"), "first_auth", "last_auth")
+
+
+def _orders(spark, d) -> DataFrame:
+    return read(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"), F.col("o_orderdate").alias("t"))
+
+
+OLD_SQL = "WITH o AS (SELECT o_orderkey AS k, o_totalprice AS v, o_orderdate AS t FROM orders) "
+
+
+@query(OLD_SQL + "SELECT k, v, t FROM o")
+def merge_insert(spark, d):
+    o = _orders(spark, d)
+    once = merge.insert_new(o.where("k % 3 <> 0"), o.where("k % 2 = 0 OR k % 3 = 0"), ["k"])
+    return merge.insert_new(once, o, ["k"])
+
+
+@query(OLD_SQL + "SELECT k, CASE WHEN k % 5 = 0 THEN v + 1 ELSE v END AS v, CASE WHEN k % 5 = 0 OR k % 4 = 0 THEN NULL ELSE t END AS t FROM o")
+def merge_upsert(spark, d):
+    o = _orders(spark, d)
+    source = o.where("k % 5 = 0 OR k % 4 = 0 OR k % 3 = 0").withColumn("v", F.when(F.col("k") % 5 == 0, F.col("v") + 1).otherwise(F.col("v")))
+    source = source.withColumn("t", F.when((F.col("k") % 5 == 0) | (F.col("k") % 4 == 0), None).otherwise(F.col("t")))
+    return merge.upsert_changed(o.where("k % 4 <> 0"), source, ["k"], "v").select("k", "v", "t")
+
+
+@query(OLD_SQL + """SELECT k, CASE WHEN k % 5 = 0 AND k % 7 <> 0 THEN v + 1 ELSE v END AS v,
+  CASE WHEN k % 7 = 0 THEN CASE WHEN k % 6 = 0 THEN TIMESTAMP '1990-01-01' ELSE TIMESTAMP '2020-01-01' END END AS delisted_at FROM o WHERE NOT (k % 4 = 0 AND k % 7 = 0)""")
+def merge_sync(spark, d):
+    o = _orders(spark, d).select("k", "v")
+    old = o.where("k % 4 <> 0 OR k % 4 IS NULL").withColumn("delisted_at", F.when(F.col("k") % 6 == 0, F.lit("1990-01-01").cast("timestamp_ntz")))
+    snapshot = o.where("k % 7 <> 0").withColumn("v", F.when(F.col("k") % 5 == 0, F.col("v") + 1).otherwise(F.col("v")))
+    return merge.sync_snapshot(old, snapshot, ["k"], "v", F.lit("2020-01-01").cast("timestamp_ntz")).select("k", "v", "delisted_at")
+
+
+RECONCILE_SQL = """WITH l AS (SELECT o_orderkey AS k, o_totalprice AS v, (o_custkey % 4)::INT AS p, o_orderkey AS o FROM orders WHERE o_orderkey % 11 <> 0),
+  r AS (SELECT o_orderkey AS k, o_totalprice + CASE WHEN o_orderkey % 13 = 0 THEN 1 ELSE 0 END AS v, (o_custkey % 4)::INT AS p, o_orderkey AS o FROM orders WHERE o_orderkey % 17 <> 0 AND o_orderkey > 500),
+  s AS (SELECT p, greatest(a.lo, b.lo) AS lo, least(a.hi, b.hi) AS hi FROM (SELECT p, min(o) AS lo, max(o) AS hi FROM l GROUP BY p) a JOIN (SELECT p, min(o) AS lo, max(o) AS hi FROM r GROUP BY p) b USING (p)),
+  x AS (SELECT k, v FROM l JOIN s USING (p) WHERE o BETWEEN lo AND hi), y AS (SELECT k, v FROM r JOIN s USING (p) WHERE o BETWEEN lo AND hi)
+  SELECT count(*) FILTER (WHERE x.k IS NOT NULL AND y.k IS NOT NULL) AS in_both, count(*) FILTER (WHERE y.k IS NULL) AS only_live, count(*) FILTER (WHERE x.k IS NULL) AS only_replayed,
+         count(*) FILTER (WHERE x.v <> y.v) AS changed FROM x FULL JOIN y ON x.k = y.k"""
+
+
+@query(RECONCILE_SQL)
+def reconcile_versions(spark, d):
+    o = read(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"), (F.col("o_custkey") % 4).alias("kafka_partition"), F.col("o_orderkey").alias("kafka_offset"))
+    rebuilt = o.where("k % 17 <> 0 AND k > 500").withColumn("v", F.col("v") + F.when(F.col("k") % 13 == 0, 1).otherwise(0))
+    return reconcile.compare(o.where("k % 11 <> 0"), rebuilt, ["k"], ["v"])
+
+
+@query("""WITH r AS (SELECT (l_linenumber % 3)::INT AS p, row_number() OVER (PARTITION BY l_linenumber % 3 ORDER BY l_orderkey, l_partkey, l_suppkey) AS o FROM lineitem)
+  SELECT p AS kafka_partition, max(o) + 1 AS next_offset FROM r GROUP BY 1""")
+def resume_offsets(spark, d):
+    from tidemark.streaming import runner
+
+    # No broker here: offsets are numbered within the stand-in partitions.
+    rows = read(spark, d, "lineitem").selectExpr("cast(l_linenumber % 3 AS int) AS kafka_partition", "row_number() OVER (PARTITION BY l_linenumber % 3 ORDER BY l_orderkey, l_partkey, l_suppkey) AS kafka_offset")
+    return runner.next_offsets(rows.where("kafka_offset % 2 = 0"), rows.where("kafka_offset % 2 = 1"))
+
+
+@query("""WITH e AS (SELECT event_id, ts, value FROM events), days AS (SELECT DISTINCT ts::DATE AS day FROM e WHERE event_id % 50 = 0)
+  SELECT event_id, ts::DATE AS day, value FROM e WHERE ts::DATE IN (FROM days)""")
+def bronze_repair(spark, d):
+    e = read(spark, d, "events").select("event_id", F.to_date("ts").alias("day"), "value", F.lit(0).alias("ingested"))
+    return merge.repair(e.unionByName(e.where("event_id % 50 = 0").withColumn("ingested", F.lit(1))), ["event_id"], "ingested", "day")[1].select("event_id", "day", "value")
+
+
+SCREEN_SQL = """WITH m AS (SELECT p_partkey AS merchant_id, p_name AS n FROM part), l AS (SELECT s_suppkey AS target_id, s_name AS n FROM supplier),
+  w AS (SELECT 'm' AS side, merchant_id AS id, n FROM m UNION ALL SELECT 'n', p_partkey, 'The ' || upper(p_name) || ', LLC' FROM part WHERE p_partkey % 9 = 0),
+  c AS (SELECT side, id, array_to_string(list_filter(regexp_extract_all(lower(replace(n, '.', '')), '[a-z0-9_]+'), lambda x: NOT list_contains([%s], x)), ' ') AS name_norm FROM w)
+  SELECT a.id AS merchant_id, b.id AS target_id, a.name_norm FROM c a JOIN c b ON a.name_norm = b.name_norm WHERE a.side = 'm' AND b.side = 'n' AND length(a.name_norm) >= 4""" % ", ".join(f"'{x}'" for x in names.LEGAL_FORMS)
+
+
+@query(SCREEN_SQL)
+def screening(spark, d):
+    p = read(spark, d, "part")
+    targets = p.where("p_partkey % 9 = 0").select(
+        F.col("p_partkey").alias("target_id"), F.lit("Company").alias("schema"), F.concat(F.lit("The "), F.upper("p_name"), F.lit(", LLC")).alias("name"),
+        F.lit(None).cast("string").alias("aliases"), F.lit("gb").alias("countries"), F.lit("X").alias("program_ids"),
+    )
+    merchants = p.select(F.col("p_partkey").alias("merchant_id"), F.col("p_name").alias("merchant_name"))
+    return names.screen(merchants, names.screening_names(targets)).select("merchant_id", "target_id", "name_norm")
+
+
+@query("""SELECT * FROM (VALUES ('approval_rate_is_a_share', 0::BIGINT, true), ('candles_are_consistent', 0::BIGINT, true), ('daily_counts_match', 0::BIGINT, true), ('hits_are_listed', (SELECT count(*) FROM supplier WHERE s_suppkey % 4 = 0), (SELECT count(*) FROM supplier WHERE s_suppkey % 4 = 0) = 0),
+  ('one_candle_per_product_hour', 0::BIGINT, true)) t("check", offending_rows, passed)""")
+def quality_checks(spark, d):
+    t = trades(spark, d)
+    candles = aggregates.candles(t, "HOUR")
+    o = read(spark, d, "orders").selectExpr("o_orderdate AS auth_time", "o_orderstatus = 'F' AS approved", "cast(o_totalprice AS decimal(18,2)) AS amount_eur", "o_orderpriority AS channel")
+    daily = aggregates.daily(o, ["channel"])
+    s = read(spark, d, "supplier").select(F.col("s_suppkey").alias("target_id"), F.when(F.col("s_suppkey") % 4 == 0, F.lit("2020-01-01").cast("timestamp")).alias("delisted_at"))
+    return checks.run([
+        checks.offending("candles_are_consistent", candles, checks.CANDLE), checks.repeated("one_candle_per_product_hour", candles, ["product_id", "bucket"]),
+        checks.offending("approval_rate_is_a_share", daily, checks.SHARE), checks.same_total("daily_counts_match", daily, "auths", o),
+        checks.unlisted("hits_are_listed", s.select("target_id"), s),
+    ])
+
+
+def _shared(spark) -> str:
+    import tempfile
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a shared folder")
+    return f"{(base or 'file://' + tempfile.gettempdir()).rstrip('/')}/tidemark-streams/{uuid.uuid4().hex}"
+
+
+def _event_log(spark, d, path: str) -> None:
+    """The events as a log of trade records in four files, every tenth sent twice and every hundredth not JSON."""
+    e = read(spark, d, "events")
+    body = F.to_json(F.struct(
+        F.col("event_id").alias("trade_id"), F.concat("event_type", F.lit("-USD")).alias("product_id"), F.col("value").cast("string").alias("price"),
+        (F.col("event_id") % 10 + 1).cast("string").alias("size"), F.when(F.col("user_id") % 2 == 0, "buy").otherwise("sell").alias("side"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("time"), F.col("event_id").alias("sequence"),
+    ))
+    payload = F.when(F.col("event_id") % 100 == 99, "not json").otherwise(body)
+    rows = e.select(F.encode(F.concat("event_type", F.lit("-USD")), "utf-8").alias("key"), F.encode(payload, "utf-8").alias("value"), F.lit("trades").alias("topic"),
+                    (F.col("event_id") % 4).cast("int").alias("partition"), F.col("event_id").alias("offset"), F.col("ts").cast("timestamp").alias("timestamp"))
+    rows.unionByName(rows.where("offset % 10 = 0")).repartition(4).write.parquet(path)
+
+
+def _streamed(spark, d, v2: bool = False):
+    from tidemark.sources.tables import VersionedTable
+    from tidemark.streaming import runner
+
+    at = _shared(spark)
+    _event_log(spark, d, f"{at}/log")
+    silver = VersionedTable(spark, f"{at}/silver", runner.SILVER_V2 if v2 else runner.SILVER)
+    bronze, rejects = VersionedTable(spark, f"{at}/bronze", runner.BRONZE), VersionedTable(spark, f"{at}/rejects", runner.REJECTS)
+    runner.supervise(
+        runner.start(runner.file_log(spark, f"{at}/log", 2), runner.bronze_batch(bronze), f"{at}/ck-bronze"),
+        runner.start(runner.file_log(spark, f"{at}/log", 2), runner.trade_batch(silver, rejects, v2), f"{at}/ck-silver"), poll=0.2,
+    )
+    return bronze.read(), silver.read(), rejects.read()
+
+
+@query("SELECT (event_id % 4)::INT AS kafka_partition, event_id AS kafka_offset FROM events")
+def stream_bronze(spark, d):
+    return _streamed(spark, d)[0].select("kafka_partition", "kafka_offset")
+
+
+@query("SELECT event_id AS trade_id, event_type || '-USD' AS product_id, round(value, 6) AS price, round(round(value, 6) * (event_id % 10 + 1), 6) AS notional FROM events WHERE event_id % 100 <> 99 AND value > 0")
+def stream_silver_v2(spark, d):
+    return _streamed(spark, d, True)[1].select("trade_id", "product_id", *money("price", "notional"))
+
+
+@query("SELECT CASE WHEN event_id % 100 = 99 THEN 'not a trade record' ELSE 'price is not a positive decimal' END AS reason, event_id AS kafka_offset FROM events WHERE event_id % 100 = 99 OR value <= 0")
+def stream_rejects(spark, d):
+    return _streamed(spark, d)[2].select("reason", "kafka_offset")
