@@ -117,7 +117,7 @@ def dedup_latest(spark, d):
 
 RATES_SQL = """WITH f AS (SELECT event_id, 'C' || (user_id % 6)::VARCHAR AS currency, ts::DATE AS day FROM events),
   r AS (SELECT 'C' || (user_id % 5)::VARCHAR AS quote, ts::DATE AS rate_date, round(avg(value), 4) AS rate FROM events WHERE dayofweek(ts) BETWEEN 1 AND 5 AND day(ts) % 9 < 3 GROUP BY 1, 2)
-  SELECT event_id, currency, day, rate_date, rate FROM (SELECT f.*, r.rate_date, r.rate, row_number() OVER (PARTITION BY event_id ORDER BY r.rate_date DESC NULLS LAST) AS n
+  SELECT event_id, currency, day, rate_date::VARCHAR AS rate_date, rate FROM (SELECT f.*, r.rate_date, r.rate, row_number() OVER (PARTITION BY event_id ORDER BY r.rate_date DESC NULLS LAST) AS n
     FROM f LEFT JOIN r ON currency = quote AND r.rate_date <= day AND r.rate_date > day - 7) WHERE n = 1"""
 
 
@@ -132,13 +132,13 @@ def _facts_and_rates(spark, d) -> tuple[DataFrame, DataFrame]:
 @query(RATES_SQL)
 def fx_asof_interval(spark, d):
     facts, rates = _facts_and_rates(spark, d)
-    return asof.asof_interval(facts, rates, "currency", "day", "quote", "rate_date").select("event_id", "currency", "day", "rate_date", "rate")
+    return asof.asof_interval(facts, rates, "currency", "day", "quote", "rate_date").select("event_id", "currency", "day", F.col("rate_date").cast("string").alias("rate_date"), "rate")
 
 
 @query(RATES_SQL)
 def fx_asof_window(spark, d):
     facts, rates = _facts_and_rates(spark, d)
-    return asof.asof_window(facts, rates, "currency", "day", "quote", "rate_date", ["event_id"]).select("event_id", "currency", "day", "rate_date", "rate")
+    return asof.asof_window(facts, rates, "currency", "day", "quote", "rate_date", ["event_id"]).select("event_id", "currency", "day", F.col("rate_date").cast("string").alias("rate_date"), "rate")
 
 
 @query("""SELECT o_orderdate::DATE AS auth_date, c_mktsegment AS segment, o_orderpriority AS priority, count(*) AS auths, count(*) FILTER (WHERE o_orderstatus = 'F') AS approved,
@@ -229,7 +229,7 @@ def bronze_repair(spark, d):
 
 
 SCREEN_SQL = """WITH m AS (SELECT p_partkey AS merchant_id, p_name AS n FROM part), l AS (SELECT s_suppkey AS target_id, s_name AS n FROM supplier),
-  w AS (SELECT 'm' AS side, merchant_id AS id, n FROM m UNION ALL SELECT 'n', p_partkey, 'The ' || upper(p_name) || ', LLC' FROM part WHERE p_partkey % 9 = 0),
+  w AS (SELECT 'm' AS side, merchant_id AS id, n FROM m UNION ALL SELECT 'n', p_partkey, 'The ' || upper(p_name) || ', LLC' FROM part WHERE p_partkey %% 9 = 0),
   c AS (SELECT side, id, array_to_string(list_filter(regexp_extract_all(lower(replace(n, '.', '')), '[a-z0-9_]+'), lambda x: NOT list_contains([%s], x)), ' ') AS name_norm FROM w)
   SELECT a.id AS merchant_id, b.id AS target_id, a.name_norm FROM c a JOIN c b ON a.name_norm = b.name_norm WHERE a.side = 'm' AND b.side = 'n' AND length(a.name_norm) >= 4""" % ", ".join(f"'{x}'" for x in names.LEGAL_FORMS)
 
