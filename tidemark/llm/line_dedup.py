@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import let, staged, table, words
+from ._shared import let, small, staged, table, words
 
 MIN_WORDS = 8
 
@@ -71,13 +71,16 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     long = kinds.where(F.size("words") >= min_words - 1)
     shared = long.select(F.explode_outer(halves(F.col("words"))).alias("half"), "key")
     partners = shared.groupBy("half").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("half")
-    candidates = shared.join(partners, "half", "left_semi").select("key").distinct()
-    screened = long.where(F.size("words") >= min_words).join(candidates, "key", "left_semi")
+    candidates = staged(shared.join(partners, "half", "left_semi").select("key").distinct(), "line-candidates")
+    screened = long.where(F.size("words") >= min_words).join(small(candidates), "key", "left_semi")
     keyed = screened.select("key", "first", F.explode_outer(variants(F.col("words"))).alias("variant"))
     earliest = keyed.groupBy("variant").agg(F.min(F.struct("first", "key")).alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1").select("variant", "best")
     pairs = keyed.join(earliest, "variant").where("best.first < first").select("key", F.col("best.key").alias("other")).distinct()
+    pairs = small(staged(pairs, "line-pairs"))
     a, b = kinds.select("key", F.col("words").alias("a")), kinds.select(F.col("key").alias("other"), F.col("words").alias("b"))
-    near = pairs.join(a, "key").join(b, "other").where(one_edit(F.col("a"), F.col("b"))).select("key").distinct().withColumn("near", F.lit(True))
+    # The words of a pair are fetched by joins that leave the table of all lines in place while the pairs are few.
+    left = small(staged(a.join(pairs, "key"), "line-left"))
+    near = b.join(left, "other").where(one_edit(F.col("a"), F.col("b"))).select("key").distinct().withColumn("near", F.lit(True))
     told = staged(kinds.select("key", "first").join(near, "key", "left"), "line-fates")
     judged = full.select("doc_id", "line", "key").join(told, "key").withColumn("equal", F.col("first") < place)
     fate = judged.groupBy("doc_id").agg(
