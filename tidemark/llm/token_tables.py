@@ -46,9 +46,11 @@ FOOTER = struct.Struct("<QQQQQQB8s")
 #: Words whose ids a worker keeps; beyond it the store starts anew.
 KEPT_WORDS = 1 << 20
 SEPARATOR = b"\x01"
-#: The vocabulary is lower case and cuts between a letter and what is no letter, so A-Z are folded and a full stop or
-#: comma at a word's end is taken off before words are looked up; that leaves fewer different ones.
-MARK = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
+#: The vocabulary is lower case and cuts between a letter and what is no letter, so A-Z are folded and a sign that follows
+#: a letter is taken off before words are looked up; that leaves fewer different ones. An apostrophe may belong to the word.
+MARK = re.compile(rb"(?<=[a-z])(?=[!-&(-/:-@\[-`{-~])")
+#: Texts with this may hold a special token, which is found in the text as it stands.
+SPECIAL = b"<|"
 
 
 def key_of(doc_id: int | None) -> bytes:
@@ -247,7 +249,7 @@ class Encoder:
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """The ids of each text, taken together in pieces of bounded size."""
         for start, stop in pieces(texts):
-            split = [MARK.sub(rb" \1", t.lower()).split() for t in texts[start:stop]]
+            split = [(t if SPECIAL in t else MARK.sub(b" ", t.lower())).split() for t in texts[start:stop]]
             words = [w for ws in split for w in ws]
             found = [self._ids(words[i : i + KEPT_WORDS]) for i in range(0, len(words), KEPT_WORDS)]
             ids = np.concatenate([np.empty(0, np.uint32), *(f[0] for f in found)])
