@@ -263,6 +263,13 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def encoder_of(path: str) -> Encoder:
+    """The worker's encoder. Tasks must come by this function: a task's own code is sent with copies of the globals it names."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def vocabulary() -> str:
     import public_tokenizers
 
@@ -286,7 +293,7 @@ def write_tables(docs: DataFrame, path: str, vocab: str | None = None, shards: i
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.setdefault(vocab, None) or _ENCODERS.update({vocab: Encoder(vocab)}) or _ENCODERS[vocab]
+        encoder = encoder_of(vocab)
         width = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 else 4
         place, root = fs.FileSystem.from_uri(path)
         part = TaskContext.get().partitionId()
