@@ -24,6 +24,7 @@ import uuid
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,7 @@ KEPT_WORDS = 1 << 20
 SEPARATOR = b"\x01"
 #: The vocabulary is lower case and cuts between a letter and what is no letter, so A-Z are folded and a sign that follows
 #: a letter is taken off before words are looked up; that leaves fewer different ones. An apostrophe may belong to the word.
-MARK = re.compile(rb"(?<=[a-z])(?=[!-&(-/:-@\[-`{-~])")
+MARK = re.compile(rb"([!-&(-/:-@\[-`{-~])(?<=[a-z].)")
 #: Texts with this may hold a special token, which is found in the text as it stands.
 SPECIAL = b"<|"
 
@@ -234,14 +235,20 @@ class Encoder:
         flat[~np.repeat(plain, counts)] = [i for r in rest for i in r]
         return flat, counts
 
+    def _places(self, words: list[bytes]) -> np.ndarray:
+        """Each word's number in the store, -1 if it isn't there."""
+        return np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+
     def _ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, and each word's number of ids."""
-        if new := set(words).difference(self.known):
+        at = self._places(words)
+        if len(unknown := np.flatnonzero(at < 0)):
+            new = {words[i] for i in unknown}
             if len(self.known) + len(new) > KEPT_WORDS:
                 self.clear()
-                new = set(words)
+                new, unknown = set(words), np.arange(len(words))
             self._learn(sorted(new))
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            at[unknown] = self._places([words[i] for i in unknown])
         counts = self.counts[: len(self.known)]
         n, first = counts[at], (np.cumsum(counts) - counts)[at]
         return self.flat[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], n
@@ -249,7 +256,7 @@ class Encoder:
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """The ids of each text, taken together in pieces of bounded size."""
         for start, stop in pieces(texts):
-            split = [(t if SPECIAL in t else MARK.sub(b" ", t.lower())).split() for t in texts[start:stop]]
+            split = [(t if SPECIAL in t else MARK.sub(rb" \1", t.lower())).split() for t in texts[start:stop]]
             words = [w for ws in split for w in ws]
             found = [self._ids(words[i : i + KEPT_WORDS]) for i in range(0, len(words), KEPT_WORDS)]
             ids = np.concatenate([np.empty(0, np.uint32), *(f[0] for f in found)])
