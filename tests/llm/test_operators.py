@@ -245,6 +245,9 @@ def test_line_dedup(spark):
     lines += lines[:5]
     r.shuffle(lines)
     rows = [(i, "\n".join(lines[i * 5 : i * 5 + 5]) + "\n \n") for i in range(len(lines) // 5)] + [(90, None), (91, "")]
+    # The third is one edit from the second only, though it has a variant in common with the first.
+    base = " ".join(f"b{i}" for i in range(9))
+    rows += [(92, f"before {base}"), (93, f"{base}\nx\n{base} after"), (94, "long " * 20_000), (95, "long " * 20_001)]
     found = line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
     places = [(d, n, x.split()) for d, t in rows for n, x in enumerate((t or "").split("\n")) if x.split()]
 
@@ -264,5 +267,10 @@ def test_line_dedup(spark):
             want[d].append(n)
     got = {x.doc_id: list(x.removed) for x in found.collect()}
     assert got == {d: want[d] for d, _ in rows}
+    assert want[93] == [0, 2] and want[95] == [0]
+    same = [(7, f"{base} end"), (7, f"other {base} end"), (None, f"{base} fin"), (None, None)]
+    told = line_dedup.removed_lines(spark.createDataFrame(same, "doc_id bigint, text string")).collect()
+    assert {(x.doc_id, x.n_lines, x.n_near) for x in told} == {(7, 2, 1), (None, 1, 0)}
+    assert line_dedup.removed_lines(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
     out = line_dedup.without_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), found)
     assert out.count() == len(rows) and out.where("doc_id = 90 AND text IS NULL").count() <= 1

@@ -2,51 +2,137 @@ r"""Line deduplication by a deletion-neighbourhood join.
 
 A line is its words. A line goes if an earlier one, by (doc_id, line number), is equal or, for lines of MIN_WORDS words
 and more, differs by one inserted, deleted or replaced word. Only different lines are compared, each at
-its first place. A line gives keys: itself, and itself without word i, hashed with the length and the place so
-that equal keys mean a distance of one at most; lines that share a key are joined with the earliest of them only, which
-is then verified word by word. Since the earliest has the key too, no pairs within a key are needed.
+its first place. A line gives keys: itself, and itself without word i, the latter twice: to meet a line that lacks the
+word, and, hashed with length and place, to meet lines with another word there. Lines that share a key in such roles are one
+edit apart, so each is joined with the earliest of them only, which is then verified word by word, and no
+pairs within a key are needed.
 
 Half of a line is left alone by one edit, so lines whose halves nobody shares emit no variants.
 
-At scale: the shuffles are of 64-bit keys with partial aggregation by minimum, so a line that a third of the
-documents hold meets in one small row a task.
+At scale: a line is a 64-bit hash of its words, and its variants come from prefix sums of word hashes, in time that grows with the
+line's length only. The texts are read twice, and only texts with a candidate line's first place are shuffled. All else
+shuffles keys with partial aggregation by minimum, so a line that a third of the documents hold meets in one small row a task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import let, small, staged, table, words
+from ._hashing import BASE, mix, pieces, texts_of, word_hashes
+from ._shared import small, staged, table
 
 MIN_WORDS = 8
-
-
-def _joined(ws: Column, *kind) -> Column:
-    return F.xxhash64(*kind, F.array_join(ws, " "))
-
-
-def halves(ws: Column) -> Column:
-    """Keys of the first and last halves, seen as the shorter or the longer of two lines."""
-    n = F.size(ws)
-
-    def of(shorter: Column) -> list[Column]:
-        h = F.floor(shorter / 2).cast("int")
-        return [_joined(F.slice(ws, F.lit(1), h), F.lit("first"), shorter), _joined(F.slice(ws, n - (shorter - h) + 1, shorter - h), F.lit("last"), shorter)]
-
-    return F.array(*of(n), *of(n - 1))
-
-
-def variants(ws: Column) -> Column:
-    """Keys that two lines share if, and but for hash collisions only if, one edit makes them equal."""
-    n = F.size(ws)
-    without = lambda i: F.concat(F.slice(ws, F.lit(1), i), F.slice(ws, i + 2, n))
-    places = F.sequence(F.lit(0), n - 1)
-    return F.array_distinct(F.concat(
-        F.array(_joined(ws, F.lit("whole"), n)),
-        F.transform(places, lambda i: let(without(i), lambda w: _joined(w, F.lit("whole"), n - 1))),
-        F.transform(places, lambda i: let(without(i), lambda w: _joined(w, F.lit("replaced"), n, i))),
-    ))
+#: The place of a null doc_id, before all others.
+FIRST = -(2**63)
+INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
+WHOLE, REPLACED, HEAD, TAIL = (np.uint64(k * 0xA24BAED4963EE407 % 2**64) for k in (1, 2, 3, 4))
+LINES = "doc_id long, line int, n int, key long, halves array<long>"
+VARIANTS = "key long, doc long, line int, n int, words string, variants array<long>"
+
+
+def _keyed(kind: np.uint64, hashes: np.ndarray, n: np.ndarray, i: np.ndarray | int = 0) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(hashes ^ mix(kind + n.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25) + np.asarray(i).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+
+
+class Hashed:
+    """The word hashes of some lines, from which any run of words is hashed by two sums."""
+
+    def __init__(self, lines: list[bytes]):
+        hashes, self.stop = word_hashes(lines, fold=False)
+        self.start = np.r_[0, self.stop[:-1]].astype(np.int64)
+        self.n = self.stop - self.start
+        self.powers = np.r_[np.uint64(1), np.multiply.accumulate(np.full(len(hashes), BASE))]
+        self.back = np.r_[np.uint64(1), np.multiply.accumulate(np.full(len(hashes), INVERSE))]
+        self.sums = np.r_[np.uint64(0), np.cumsum(hashes * self.powers[:-1], dtype=np.uint64)]
+        self.keys = _keyed(WHOLE, self.run(self.start, self.stop), self.n)
+
+    def run(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (self.sums[b] - self.sums[a]) * self.back[a]
+
+    def halves(self, which: np.ndarray) -> np.ndarray:
+        """Four keys for each line: first and last halves, seen as the shorter or the longer of two lines."""
+        a, b, n = self.start[which], self.stop[which], self.n[which]
+        keys = []
+        for m in (n, n - 1):
+            h = m // 2
+            keys += [_keyed(HEAD, self.run(a, a + h), m), _keyed(TAIL, self.run(b - (m - h), b), m)]
+        return np.stack(keys, axis=1)
+
+    def variants(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets, keys): for each line its own key, n keys of it without a word, and n with a word replaced."""
+        n = self.n[which]
+        offsets = np.r_[0, np.cumsum(2 * n + 1)]
+        of, first = np.repeat(np.arange(len(which)), n), np.cumsum(n) - n
+        i = np.arange(len(of)) - first[of]
+        a, b = self.start[which][of], self.stop[which][of]
+        without = self.run(a, a + i) + self.run(a + i + 1, b) * self.powers[i]
+        out = np.empty(offsets[-1], np.uint64)
+        out[offsets[:-1]] = self.keys[which]
+        out[offsets[of] + 1 + i] = _keyed(WHOLE, without, n[of] - 1)
+        out[offsets[of] + 1 + n[of] + i] = _keyed(REPLACED, without, n[of], i)
+        return offsets, out
+
+
+def _lists(offsets: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.view(np.int64)))
+
+
+def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, line, n, key, halves) for each line with a word; halves of lines from min_words words on."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, ids = texts_of(batch.column("text")), batch.column("doc_id")
+            for start, stop in pieces(texts):
+                split = [t.split(b"\n") for t in texts[start:stop]]
+                counts = np.array([len(x) for x in split])
+                found = Hashed([line for x in split for line in x])
+                row = np.repeat(np.arange(start, stop), counts)
+                line = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+                kept = np.flatnonzero(found.n > 0)
+                long = found.n[kept] >= min_words
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(row[kept])), pa.array(line[kept], pa.int32()), pa.array(found.n[kept], pa.int32()), pa.array(found.keys[kept].view(np.int64)),
+                     _lists(np.r_[0, np.cumsum(4 * long)], found.halves(kept[long]).ravel())],
+                    ["doc_id", "line", "n", "key", "halves"],
+                )
+
+    return docs.select("doc_id", "text").mapInArrow(read, LINES)
+
+
+def variants_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The words and variants of the lines `wanted` (key, doc, line), read from the texts at these places."""
+    places = wanted.groupBy("doc").agg(F.collect_list(F.struct("line", "key")).alias("w")).select("doc", F.col("w.line").alias("at"), F.col("w.key").alias("keys"))
+    texts = docs.select(F.coalesce("doc_id", F.lit(FIRST)).alias("doc"), "text").join(places, "doc")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines, rows = [], []
+            for text, doc, at, keys in zip(texts_of(batch.column("text")), *(batch.column(c).to_pylist() for c in ("doc", "at", "keys"))):
+                split = text.split(b"\n")
+                for i, key in zip(at, keys):
+                    if i < len(split):
+                        lines.append(split[i])
+                        rows.append((key, doc, i))
+            for start, stop in pieces(lines):
+                found = Hashed(lines[start:stop])
+                key, doc, line = (np.array(c) for c in zip(*rows[start:stop]))
+                # Rows of one doc_id may have other lines of the same number.
+                kept = np.flatnonzero((found.keys.view(np.int64) == key) & (found.n > 0))
+                said = [b" ".join(lines[start + k].split()) for k in kept]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[kept], pa.int64()), pa.array(doc[kept], pa.int64()), pa.array(line[kept], pa.int32()), pa.array(found.n[kept], pa.int32()),
+                     pa.array(said, pa.binary()).cast(pa.string()), _lists(*found.variants(kept))],
+                    ["key", "doc", "line", "n", "words", "variants"],
+                )
+
+    return texts.mapInArrow(read, VARIANTS)
 
 
 def one_edit(a: Column, b: Column) -> Column:
@@ -63,26 +149,29 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     Null and empty texts have no lines. Rows of one doc_id are read as one after another's lines of the same numbers; of equal
     lines at one place the first counts as earliest and all stay. A null doc_id comes first.
     """
-    lines = docs.select("doc_id", F.posexplode_outer(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "raw"))
-    lines = lines.withColumn("words", words(F.col("raw")))
-    full = lines.where(F.size("words") > 0).select("doc_id", "line", "words", F.xxhash64(F.array_join("words", " ")).alias("key"))
-    place = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"), "line")
-    kinds = staged(full.groupBy("key").agg(F.min(place).alias("first"), F.first("words").alias("words")), "lines")
-    long = kinds.where(F.size("words") >= min_words - 1)
-    shared = long.select(F.explode_outer(halves(F.col("words"))).alias("half"), "key")
+    lines = staged(lines_of(docs, min_words), "lines")
+    place = F.struct(F.coalesce("doc_id", F.lit(FIRST)).alias("doc_id"), "line")
+    kinds = staged(lines.groupBy("key").agg(F.min(place).alias("first"), F.first("halves").alias("halves")), "line-kinds")
+    shared = kinds.where(F.size("halves") > 0).select(F.explode_outer("halves").alias("half"), "key")
     partners = shared.groupBy("half").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("half")
     candidates = staged(shared.join(partners, "half", "left_semi").select("key").distinct(), "line-candidates")
-    screened = long.where(F.size("words") >= min_words).join(small(candidates), "key", "left_semi")
-    keyed = screened.select("key", "first", F.explode_outer(variants(F.col("words"))).alias("variant"))
-    earliest = keyed.groupBy("variant").agg(F.min(F.struct("first", "key")).alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1").select("variant", "best")
-    pairs = keyed.join(earliest, "variant").where("best.first < first").select("key", F.col("best.key").alias("other")).distinct()
+    wanted = kinds.join(small(candidates), "key", "left_semi").select("key", F.col("first.doc_id").alias("doc"), F.col("first.line").alias("line"))
+    known = staged(variants_of(docs, wanted), "line-variants")
+    keyed = known.select("key", "n", F.struct("doc", "line").alias("first"), F.posexplode_outer("variants").alias("i", "variant"))
+    # A whole line meets lines that lack nothing but a word of it, and the other way round; replaced meets replaced.
+    keyed = keyed.select("variant", "key", "first", F.when(F.col("i") == 0, 0).when(F.col("i") <= F.col("n"), 1).otherwise(2).alias("role"))
+    best = lambda role: F.min(F.when(F.col("role") == role, F.struct("first", "key")))
+    met = F.min("key") != F.max("key")
+    earliest = keyed.groupBy("variant").agg(best(0).alias("whole"), best(1).alias("without"), best(2).alias("replaced"), met.alias("met")).where("met")
+    other = F.when(F.col("role") == 0, F.col("without")).when(F.col("role") == 1, F.col("whole")).otherwise(F.col("replaced"))
+    pairs = keyed.join(earliest, "variant").select("key", "first", other.alias("other")).where("other.first < first").select("key", F.col("other.key").alias("other")).distinct()
     pairs = small(staged(pairs, "line-pairs"))
-    a, b = kinds.select("key", F.col("words").alias("a")), kinds.select(F.col("key").alias("other"), F.col("words").alias("b"))
-    # The words of a pair are fetched by joins that leave the table of all lines in place while the pairs are few.
-    left = small(staged(a.join(pairs, "key"), "line-left"))
-    near = b.join(left, "other").where(one_edit(F.col("a"), F.col("b"))).select("key").distinct().withColumn("near", F.lit(True))
+    said = F.split("words", " ")
+    # The words of a pair are fetched by joins that leave the table of candidates in place while the pairs are few.
+    left = small(staged(known.select("key", said.alias("a")).join(pairs, "key"), "line-left"))
+    near = known.select(F.col("key").alias("other"), said.alias("b")).join(left, "other").where(one_edit(F.col("a"), F.col("b"))).select("key").distinct().withColumn("near", F.lit(True))
     told = staged(kinds.select("key", "first").join(near, "key", "left"), "line-fates")
-    judged = full.select("doc_id", "line", "key").join(told, "key").withColumn("equal", F.col("first") < place)
+    judged = lines.select("doc_id", "line", "key").join(told, "key").withColumn("equal", F.col("first") < place)
     fate = judged.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_lines"), F.count_if("equal").alias("n_equal"), F.count_if(~F.col("equal") & F.col("near")).alias("n_near"),
         F.sort_array(F.collect_list(F.when(F.col("equal") | F.col("near"), F.col("line")))).alias("removed"),
