@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._hashing import BASE, mix, pieces, texts_of, word_hashes
-from ._shared import small, staged, table
+from ._shared import let, small, staged, table
 
 MIN_WORDS = 8
 #: The place of a null doc_id, before all others.
@@ -108,31 +108,28 @@ def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
 
 def variants_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The words and variants of the lines `wanted` (key, doc, line), read from the texts at these places."""
-    places = wanted.groupBy("doc").agg(F.collect_list(F.struct("line", "key")).alias("w")).select("doc", F.col("w.line").alias("at"), F.col("w.key").alias("keys"))
+    places = wanted.groupBy("doc").agg(F.collect_list(F.struct("line", "key")).alias("places"))
     texts = docs.select(F.coalesce("doc_id", F.lit(FIRST)).alias("doc"), "text").join(places, "doc")
+    picked = lambda split: F.transform("places", lambda x: F.struct(x["line"].alias("line"), x["key"].alias("key"), F.get(split, x["line"]).alias("text")))
+    # Python is sent the lines and not their texts, which bounds its batches.
+    lines = texts.select("doc", F.explode_outer(let(F.split("text", "\n"), picked)).alias("x")).select("doc", "x.*").where("key IS NOT NULL")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines, rows = [], []
-            for text, doc, at, keys in zip(texts_of(batch.column("text")), *(batch.column(c).to_pylist() for c in ("doc", "at", "keys"))):
-                split = text.split(b"\n")
-                for i, key in zip(at, keys):
-                    if i < len(split):
-                        lines.append(split[i])
-                        rows.append((key, doc, i))
-            for start, stop in pieces(lines):
-                found = Hashed(lines[start:stop])
-                key, doc, line = (np.array(c) for c in zip(*rows[start:stop]))
+            key, doc, line = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "doc", "line"))
+            said = texts_of(batch.column("text"))
+            for start, stop in pieces(said):
+                found = Hashed(said[start:stop])
                 # Rows of one doc_id may have other lines of the same number.
-                kept = np.flatnonzero((found.keys.view(np.int64) == key) & (found.n > 0))
-                said = [b" ".join(lines[start + k].split()) for k in kept]
+                kept = np.flatnonzero((found.keys.view(np.int64) == key[start:stop]) & (found.n > 0))
+                at = kept + start
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[kept], pa.int64()), pa.array(doc[kept], pa.int64()), pa.array(line[kept], pa.int32()), pa.array(found.n[kept], pa.int32()),
-                     pa.array(said, pa.binary()).cast(pa.string()), _lists(*found.variants(kept))],
+                    [pa.array(key[at], pa.int64()), pa.array(doc[at], pa.int64()), pa.array(line[at], pa.int32()), pa.array(found.n[kept], pa.int32()),
+                     pa.array([b" ".join(said[k].split()) for k in at], pa.binary()).cast(pa.string()), _lists(*found.variants(kept))],
                     ["key", "doc", "line", "n", "words", "variants"],
                 )
 
-    return texts.mapInArrow(read, VARIANTS)
+    return lines.mapInArrow(read, VARIANTS)
 
 
 def one_edit(a: Column, b: Column) -> Column:
