@@ -41,6 +41,8 @@ CHUNK = 1024
 #: Sets beyond LONG shingles fill the bitmap, so pairs of them must instead meet in SHARED lists; they are posted under
 #: SHARED - 1 more shingles for that. A list with more than CROWD of them joins them all, as a filter may only add.
 LONG, SHARED, CROWD = 1400, 4, 64
+#: Links that a task holds before it reduces them to a spanning star.
+FOLD = 1 << 14
 
 
 def sets_of(texts: list[bytes]) -> Iterator[np.ndarray]:
@@ -164,6 +166,30 @@ def stars(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = after
 
 
+class Stars:
+    """The components of links among n members as the links come, in memory that the number of links doesn't change."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+        self.a, self.b, self.size = [], [], 0
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        self.a.append(a)
+        self.b.append(b)
+        self.size += len(a)
+        if self.size >= FOLD:
+            self.fold()
+
+    def fold(self) -> np.ndarray:
+        """The members that are not their component's smallest; `label` has what they are joined to."""
+        far = np.flatnonzero(self.label != np.arange(len(self.label)))
+        if self.size:
+            self.label = stars(len(self.label), np.concatenate([*self.a, far]), np.concatenate([*self.b, self.label[far]]))
+            self.a, self.b, self.size = [], [], 0
+            far = np.flatnonzero(self.label != np.arange(len(self.label)))
+        return far
+
+
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs in each list that sizes and bitmaps allow, as stars that count SHARED, and pairs of long sets as one each.
     Rows: token, lo, hi, chunk, cls, n, bits."""
@@ -174,8 +200,9 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
         stop = np.repeat(np.r_[first[1:], rows], np.diff(np.r_[first, rows]))
         crowd = np.repeat(np.add.reduceat((n > LONG).astype(np.int64), first), np.diff(np.r_[first, rows]))
+        counted = (n > LONG) & (crowd <= CROWD)
         left = np.arange(rows)
-        left_all, right_all = [], []
+        found = Stars(rows)
         step = 0
         while len(left):
             step += 1
@@ -183,20 +210,20 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             right = left + step
             ok = (lo[left] == hi[left]) | (chunk[left] != chunk[right])
             ok &= 100 * np.minimum(n[left], n[right]) >= PERCENT * np.maximum(n[left], n[right])
+            # What is connected already needs no link, but where lists are counted.
+            ok &= (found.label[left] != found.label[right]) | (counted[left] & (n[right] > LONG))
             a, b = left[ok], right[ok]
             apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
             ok = (100 + PERCENT) * apart <= (100 - PERCENT) * (n[a] + n[b])
             a, b = a[ok], b[ok]
-            both = (n[a] > LONG) & (n[b] > LONG) & (crowd[a] <= CROWD)
+            both = counted[a] & (n[b] > LONG)
             if both.any():
                 x, y = cls[a[both]], cls[b[both]]
                 yield pa.RecordBatch.from_pydict({"a": np.maximum(x, y), "b": np.minimum(x, y), "n": np.ones(len(x), np.int64)})
-            left_all.append(a[~both])
-            right_all.append(b[~both])
-        if left_all and (a := np.concatenate(left_all)).size:
-            label = stars(rows, a, np.concatenate(right_all))
-            far = np.flatnonzero(label != np.arange(rows))
-            yield pa.RecordBatch.from_pydict({"a": cls[far], "b": cls[label[far]], "n": np.full(len(far), SHARED, np.int64)})
+            found.add(a[~both], b[~both])
+        if len(far := found.fold()):
+            yield pa.RecordBatch.from_pydict({"a": cls[far], "b": cls[found.label[far]], "n": np.full(len(far), SHARED, np.int64)})
+
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -216,8 +243,8 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def search(sets: list[np.ndarray], side: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
-    """Links (x, y) among sets, those of one side only with those of the other if sides are given; by DivideSkip.
+def search(sets: list[np.ndarray], side: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """Links (x, all y) among sets, those of one side only with those of the other if sides are given; by DivideSkip.
 
     For a query of n shingles any link shares T = needed(n) with it or more. Of its lists the L longest are set aside; a
     linked set is in T - L of the others at least. These are merged by counting their members, and the candidates are
@@ -254,8 +281,8 @@ def search(sets: list[np.ndarray], side: np.ndarray | None = None) -> Iterator[t
             place = np.searchsorted(listed, found)
             counts[found] += (place < len(listed)) & (listed[np.minimum(place, len(listed) - 1)] == found)
         both = counts[found]
-        for y in found[100 * both >= PERCENT * (n + sizes[found] - both)]:
-            yield x, int(y)
+        if len(linked := found[100 * both >= PERCENT * (n + sizes[found] - both)]):
+            yield x, linked
 
 
 def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,11 +296,12 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j in zip(first, np.r_[first[1:], len(block)]):
             order = np.lexsort((cls[i:j], np.diff(offsets[i : j + 1]))) + i
             sides = chunk[order] if lo[i] != hi[i] else None
-            links = np.array(list(search([flat[offsets[k] : offsets[k + 1]] for k in order], sides)), np.int64).reshape(-1, 2)
-            if len(links):
-                label = stars(j - i, links[:, 0], links[:, 1])
-                far = np.flatnonzero(label != np.arange(j - i))
-                yield pa.RecordBatch.from_pydict({"a": cls[order[far]], "b": cls[order[label[far]]]})
+            links = Stars(j - i)
+            for x, linked in search([flat[offsets[k] : offsets[k + 1]] for k in order], sides):
+                links.add(np.full(len(linked), x), linked)
+            if len(far := links.fold()):
+                yield pa.RecordBatch.from_pydict({"a": cls[order[far]], "b": cls[order[links.label[far]]]})
+
 
 
 def chunked(members: DataFrame, key: str, order: list[str]) -> DataFrame:
