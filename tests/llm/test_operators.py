@@ -200,6 +200,20 @@ def test_main_text(spark):
     assert found[1] == "" and found[2] == "text < only & more" and found[13] == "Story 3 is here"
 
 
+def test_main_text_templates_in_articles(spark):
+    box = '<div class="bio"><p>Jo writes here</p> <a>Follow</a> <a>Mail</a></div>Share <a>this</a><p>so <b>the</b> end</p>'
+    story = lambda i: " ".join(f"w{i}x{k}" for k in range(12))
+    rows = [(i, "http://a.x/", f"<article><p>{story(i)} <b>the</b> end</p>{box}</article>") for i in range(10)]
+    # Copies of one article, and near copies, keep what they share; a host's articleless pages count the same subtrees.
+    rows += [(20 + i, "http://b.x/", f"<main><p>{story(50)}</p><p>{story(51)}</p></main>") for i in range(10)]
+    rows += [(40 + i, "http://c.x/", f"<article><p>{story(60)}</p><p>{story(61)}</p><p>at {i}</p></article>") for i in range(10)]
+    rows += [(60 + i, "http://d.x/", f"<article><p>{story(i)}</p><p>Note to all</p></article>" if i % 2 else f"<body><p>{story(i)}</p><p>Note to all</p></body>") for i in range(10)]
+    found = {r.page_id: r.text for r in main_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert all(found[i] == f"{story(i)} the end" for i in range(10))
+    assert all(found[20 + i] == f"{story(50)}\n{story(51)}" and found[40 + i] == f"{story(60)}\n{story(61)}\nat {i}" for i in range(10))
+    assert all(found[60 + i] == story(i) for i in range(10))
+
+
 def test_quality_model(docs, spark):
     rows = [(i, ("good words in a row " * 5 if i % 2 else "### $$$ && bad ") + str(i), "en", "s", 0) for i in range(400)]
     d = spark.createDataFrame(rows, docs.schema)

@@ -2,12 +2,15 @@
 
 A page is parsed to a tree (missing end tags are supplied as browsers do). Elements that are never article text go:
 scripts, forms, navigation and the like, and those whose class, id or role says so. What is left of the article
-(else the main element, else the body) is read block by block. Outside an article or main element, subtrees are also
-hashed and counted by host in Spark; those on at least MIN_PAGES pages and MIN_SHARE of a host's pages are
-template and go too. Inside an article equal subtrees are kept: copies of an article are article text.
-
-At scale: pages are parsed twice. Counting shuffles 16 bytes for each (page, subtree) after partial aggregation; the
-templates found are few, and are broadcast if their counted rows allow, else pages are joined by host.
+(else the main element, else the body) is read block by block. Block subtrees of all pages, inside article and main
+too, are hashed and counted by host in Spark. One recurs if it is on at least MIN_PAGES pages and MIN_SHARE of the
+host's; it is a template, and goes, if the pages' texts differ without all that recurs: min-hashes of these rests have
+MIN_PAGES values or more, and no value is on over MOST_ALIKE of the pages. Pages with a rest under MIN_REST of their
+words are copies and don't count, so what copies of an article have in common stays.
+
+At scale: pages are parsed three times, the second time only on hosts where something recurs. Counting shuffles 16
+bytes for each (page, subtree), and a row for each (page, recurring subtree, min-hash), both after partial
+aggregation; what recurs is broadcast if its counted rows allow, else pages are joined by host.
 """
 
 from __future__ import annotations
@@ -15,8 +18,10 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +29,9 @@ from pyspark.sql import functions as F
 from ._shared import small, staged, table
 
 MIN_PAGES, MIN_SHARE = 8, 0.3
+MIN_REST, MOST_ALIKE = 0.2, 0.5
+#: Odd factors of the min-hashes.
+FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
 GONE = frozenset(
@@ -34,6 +42,9 @@ BLOCK = frozenset(
     "address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer h1 h2 h3 h4 h5 h6 header hr "
     "html li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+RUN = "#run"
+#: Subtrees of these can be templates: an inline element is a part of its sentence.
+WHOLE = BLOCK - {"html", "body", "main", "article"} | {RUN}
 #: Words in a class, id or role that mark what is no article text.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
@@ -95,9 +106,30 @@ def parse(page: str) -> Node:
             open_.append(node)
     if at < len(page):
         open_[-1].children.append(page[at:])
+    grouped(root)
     return root
 
 
+def grouped(root: Node) -> None:
+    """Text and inline elements between blocks become subtrees of their own (tag RUN), which the blocks' text is not
+    changed by."""
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        inner = [c for c in node.children if not isinstance(c, str)]
+        todo += inner
+        if node.tag in BLOCK and any(c.tag in BLOCK for c in inner):
+            out: list = []
+            for c in node.children:
+                if not isinstance(c, str) and c.tag in BLOCK:
+                    out.append(c)
+                else:
+                    if not out or out[-1].tag != RUN:
+                        out.append(Node(RUN, False))
+                    out[-1].children.append(c)
+            node.children = out
+
+
 def size(node: Node) -> int:
     todo, n = [node], 0
     while todo:
@@ -169,38 +201,95 @@ def blocks(node: Node, without: frozenset[int] = frozenset(), hashes: dict[int,
     return out
 
 
+def repeatable(root: Node, hashes: dict[int, int]) -> set[int]:
+    """The hashes of subtrees that can be templates: whole blocks with text."""
+    out: set[int] = set()
+    todo: list[tuple[Node, Node | None]] = [(root, None)]
+    above: dict[int, Node | None] = {}
+    told: set[int] = set()
+    while todo:
+        node, parent = todo.pop()
+        above[id(node)] = parent
+        if any(isinstance(c, str) and not c.isspace() for c in node.children):
+            up: Node | None = node
+            while up is not None and id(up) not in told:
+                told.add(id(up))
+                if up.tag in WHOLE:
+                    out.add(hashes[id(up)])
+                up = above[id(up)]
+        todo += [(c, node) for c in node.children if not isinstance(c, str) and not c.gone]
+    return out
+
+
+def context(rest: list[str]) -> np.ndarray:
+    """A min-hash of the text's word triples for each factor. Near copies have most in common."""
+    grams = {" ".join(rest[i : i + 3]) for i in range(max(1, len(rest) - 2))}
+    found = np.array([zlib.crc32(g.encode(errors="replace")) + 1 for g in grams], np.uint64)
+    return (found[:, None] * FACTORS).min(axis=0).view(np.int64)
+
+
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hosts, found = [], []
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            top, article = content(parse(page or ""))
-            if not article:
-                own = digests(top)
-                mine = {h for k, h in own.items() if k != id(top)}
-                hosts += [host] * len(mine)
-                found += mine
+            root = parse(page or "")
+            mine = repeatable(root, digests(root))
+            hosts += [host] * len(mine)
+            found += mine
         yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "subtree": pa.array(found, pa.int64())})
 
 
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hosts, found, which, contexts = [], [], [], []
+        for host, page, again in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "templates"))):
+            top, _ = content(parse(page or ""))
+            own = digests(top)
+            if not (mine := repeatable(top, own).intersection(again)):
+                continue
+            rest = " ".join(blocks(top, frozenset(mine), own)).split()
+            if rest and len(rest) >= MIN_REST * len(" ".join(blocks(top)).split()):
+                for i, value in enumerate(context(rest).tolist()):
+                    hosts += [host] * len(mine)
+                    found += mine
+                    which += [i] * len(mine)
+                    contexts += [value] * len(mine)
+        yield pa.RecordBatch.from_pydict(
+            {"host": pa.array(hosts, pa.string()), "subtree": pa.array(found, pa.int64()), "i": pa.array(which, pa.int32()), "context": pa.array(contexts, pa.int64())}
+        )
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
         for page, gone in zip(batch.column("html").to_pylist(), batch.column("templates").to_pylist()):
             top, article = content(parse(page or ""))
-            texts.append("\n".join(blocks(top, frozenset(gone), digests(top)) if gone and not article else blocks(top)))
+            text = "\n".join(blocks(top, frozenset(gone), digests(top)) if gone else blocks(top))
+            # An article that other pages repeat is still the text of its own page.
+            texts.append("\n".join(blocks(top)) if article and not text else text)
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"]
         )
 
 
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, templates): the subtree hashes that recur on at least min_pages pages and min_share of the host's."""
+def recurring(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """(host, templates): the subtree hashes that are on at least min_pages pages and min_share of the host's."""
     seen = pages.mapInArrow(_subtrees, "host string, subtree long").groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
     totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     many = seen.where(F.col("n") >= min_pages).join(totals, "host").where(F.col("n") >= min_share * F.col("pages"))
     return many.groupBy("host").agg(F.collect_list("subtree").alias("templates"))
 
 
+def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """(host, templates): the subtree hashes that recur on pages whose texts differ without what recurs."""
+    again = small(staged(recurring(pages, min_pages, min_share), "site-repeats"))
+    told = pages.join(again, "host").select("host", "html", "templates").mapInArrow(_contexts, "host string, subtree long, i int, context long")
+    groups = told.groupBy("host", "subtree", "i", "context").agg(F.count(F.lit(1)).alias("n"))
+    spread = groups.groupBy("host", "subtree", "i").agg(F.count(F.lit(1)).alias("n_values"), F.max("n").alias("most"), F.sum("n").alias("n"))
+    sure = spread.groupBy("host", "subtree").agg(F.min("n_values").alias("n_values"), F.max(F.col("most") / F.col("n")).alias("alike"))
+    return sure.where((F.col("n_values") >= min_pages) & (F.col("alike") <= MOST_ALIKE)).groupBy("host").agg(F.collect_list("subtree").alias("templates"))
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for each row of `pages` (page_id, url, html). A null html is empty; a url without
     a host, or null, belongs to the host ''. Repeated rows are separate pages."""
