@@ -214,6 +214,20 @@ def test_main_text_templates_in_articles(spark):
     assert all(found[60 + i] == story(i) for i in range(10))
 
 
+def test_main_text_marked_wrappers():
+    def text(page):
+        return "\n".join(main_text.blocks(main_text.content(main_text.parse(page))[0]))
+
+    story = "<p>" + "Much text here. " * 5 + "</p>"
+    want = " ".join(["Much text here."] * 5)
+    for around in ('<div class="layout has-sidebar">%s</div>', '<article class="post has-comments">%s</article>', '<div id="search-page">%s</div>', '<form action="x">%s</form>',
+                   '<div class="widget"><article>%s</article></div>', '<div class="social"><main>%s</main></div>', '<div class="related">%s</div>', '<article class="promo">%s</article>', '<div data-id="search">%s</div>'):
+        assert text(f"<body>{around % story}<p>x</p><div class='ad'>Buy</div><form>Send</form></body>").startswith(want), around
+    assert text("<article><p>One</p></article><div>no</div><section><article class='ads'>Buy</article><article>Two<article>in it</article></article></section>") == "One\nTwo\nin it"
+    assert text(f"<article>{story}</article><div id='comments'><article class='entry'>Reader</article></div>") == want
+    assert text(f"<body>{story}<div class='wide ad'>Buy</div><form>Send</form></body>") == want
+
+
 def test_quality_model(docs, spark):
     rows = [(i, ("good words in a row " * 5 if i % 2 else "### $$$ && bad ") + str(i), "en", "s", 0) for i in range(400)]
     d = spark.createDataFrame(rows, docs.schema)

@@ -1,8 +1,8 @@
 """The main text of web pages, with templates that a site repeats taken out.
 
 A page is parsed to a tree (missing end tags are supplied as browsers do). Elements that are never article text go:
-scripts, forms, navigation and the like, and those whose class, id or role says so. What is left of the article
-(else the main element, else the body) is read block by block. Block subtrees of all pages, inside article and main
+scripts, navigation and the like, and forms and those whose class, id or role says so unless they hold what the page
+is about. What is left of the articles (else the main elements, else the body) is read block by block. Block subtrees of all pages, inside article and main
 too, are hashed and counted by host in Spark. One recurs if it is on at least MIN_PAGES pages and MIN_SHARE of the
 host's; it is a template, and goes, if the pages' texts differ without all that recurs: min-hashes of these rests have
 MIN_PAGES values or more, and no value is on over MOST_ALIKE of the pages. Pages with a rest under MIN_REST of their
@@ -35,7 +35,7 @@ FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
 GONE = frozenset(
-    "head script style noscript template svg math iframe object embed canvas audio video form button input select option textarea "
+    "head script style noscript template svg math iframe object embed canvas audio video button input select option textarea "
     "nav aside footer dialog menu noembed noframes title".split()
 )
 BLOCK = frozenset(
@@ -45,7 +45,7 @@ BLOCK = frozenset(
 RUN = "#run"
 #: Subtrees of these can be templates: an inline element is a part of its sentence.
 WHOLE = BLOCK - {"html", "body", "main", "article"} | {RUN}
-#: Words in a class, id or role that mark what is no article text.
+#: Whole names in a class, id or role that mark what is no article text.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
     "footer masthead menu modal nav navbar navigation newsletter notice notices popup promo promoted promotion related "
@@ -56,14 +56,14 @@ MARKS = frozenset(
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table", "tbody", "thead", "tfoot"}),
           "td": ({"td", "th"}, {"tr"}), "th": ({"td", "th"}, {"tr"}), "option": ({"option"}, {"select"})}
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+NAMED = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "gone", "children")
+    __slots__ = ("tag", "gone", "marked", "children")
 
-    def __init__(self, tag: str, gone: bool):
-        self.tag, self.gone, self.children = tag, gone, []
+    def __init__(self, tag: str, gone: bool, marked: bool = False):
+        self.tag, self.gone, self.marked, self.children = tag, gone, marked, []
 
 
 def parse(page: str) -> Node:
@@ -95,9 +95,9 @@ def parse(page: str) -> Node:
             close({"p"}, BLOCK - {"p"})
         if tag in CLOSES:
             close(*CLOSES[tag])
-        marks = {w for v in NAMED.findall(m[3]) for w in re.split(r"[^a-z]+", v.lower())} if m[3] else ()
+        marks = {w for v in NAMED.findall(m[3]) for w in v.strip("\"'").lower().split()} if m[3] else ()
         inside = any(n.tag in ("article", "main") for n in open_)
-        node = Node(tag, tag in GONE or (tag == "header" and not inside) or (tag not in ("html", "body", "main") and not MARKS.isdisjoint(marks)))
+        node = Node(tag, tag in GONE or (tag == "header" and not inside), tag == "form" or (tag not in ("html", "body", "main") and not MARKS.isdisjoint(marks)))
         open_[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -106,10 +106,37 @@ def parse(page: str) -> Node:
             open_.append(node)
     if at < len(page):
         open_[-1].children.append(page[at:])
+    settle(root)
     grouped(root)
     return root
 
 
+def settle(root: Node) -> None:
+    """Marked elements go, except those that hold a main element, most of the page's text, or articles of a page that
+    has none but in marked elements."""
+    order: list[Node] = []
+    todo: list[tuple[Node, bool]] = [(root, False)]
+    free = False
+    while todo:
+        node, under = todo.pop()
+        order.append(node)
+        under = under or node.marked
+        free = free or (node.tag == "article" and not under)
+        todo += [(c, under) for c in node.children if not isinstance(c, str) and not c.gone]
+    if not any(n.marked for n in order):
+        return
+    sizes: dict[int, int] = {}
+    holds: set[int] = set()
+    for node in reversed(order):
+        inner = [c for c in node.children if not isinstance(c, str) and not c.gone]
+        sizes[id(node)] = sum(len("".join(c.split())) for c in node.children if isinstance(c, str)) + sum(sizes[id(c)] for c in inner)
+        # An article that is marked itself is none that would keep what is around it.
+        if node.tag == "main" or (node.tag == "article" and not node.marked and not free) or any(id(c) in holds for c in inner):
+            holds.add(id(node))
+    for node in order:
+        node.gone = node.marked and id(node) not in holds and 2 * sizes[id(node)] <= sizes[id(root)]
+
+
 def grouped(root: Node) -> None:
     """Text and inline elements between blocks become subtrees of their own (tag RUN), which the blocks' text is not
     changed by."""
@@ -130,29 +157,20 @@ def grouped(root: Node) -> None:
             node.children = out
 
 
-def size(node: Node) -> int:
-    todo, n = [node], 0
-    while todo:
-        for c in todo.pop().children:
-            if isinstance(c, str):
-                n += len(c)
-            elif not c.gone:
-                todo.append(c)
-    return n
-
-
-def content(root: Node) -> tuple[Node, bool]:
-    """The element whose text is the page's: the article with the most text, else main, else all; and whether
-    it is one of the first two."""
+def content(root: Node) -> tuple[list[Node], bool]:
+    """The elements whose text is the page's, in page order: the outermost articles with text, else main elements, else
+    all; and whether they are of the first two kinds."""
     for tag in ("article", "main"):
         found, todo = [], [root]
         while todo:
-            for c in todo.pop().children:
-                if not isinstance(c, str) and not c.gone:
-                    (found if c.tag == tag else todo).append(c)
-        if found and (best := max(found, key=size)) and size(best):
-            return best, True
-    return root, False
+            node = todo.pop()
+            if node.tag == tag:
+                found.append(node)
+            else:
+                todo += [c for c in node.children[::-1] if not isinstance(c, str) and not c.gone]
+        if found := [n for n in found if blocks([n])]:
+            return found, True
+    return [root], False
 
 
 def digests(root: Node) -> dict[int, int]:
@@ -170,7 +188,7 @@ def digests(root: Node) -> dict[int, int]:
     return out
 
 
-def blocks(node: Node, without: frozenset[int] = frozenset(), hashes: dict[int, int] | None = None) -> list[str]:
+def blocks(nodes: list[Node], without: frozenset[int] = frozenset(), hashes: dict[int, int] | None = None) -> list[str]:
     """The text of each block in page order, references decoded and white space folded; empty ones left out."""
     out, now = [], []
 
@@ -179,7 +197,7 @@ def blocks(node: Node, without: frozenset[int] = frozenset(), hashes: dict[int,
             out.append(text)
         now.clear()
 
-    todo: list = [node]
+    todo: list = nodes[::-1]
     while todo:
         c = todo.pop()
         if c is None:
@@ -201,10 +219,10 @@ def blocks(node: Node, without: frozenset[int] = frozenset(), hashes: dict[int,
     return out
 
 
-def repeatable(root: Node, hashes: dict[int, int]) -> set[int]:
+def repeatable(nodes: list[Node], hashes: dict[int, int]) -> set[int]:
     """The hashes of subtrees that can be templates: whole blocks with text."""
     out: set[int] = set()
-    todo: list[tuple[Node, Node | None]] = [(root, None)]
+    todo: list[tuple[Node, Node | None]] = [(n, None) for n in nodes]
     above: dict[int, Node | None] = {}
     told: set[int] = set()
     while todo:
@@ -233,7 +251,7 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hosts, found = [], []
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             root = parse(page or "")
-            mine = repeatable(root, digests(root))
+            mine = repeatable([root], digests(root))
             hosts += [host] * len(mine)
             found += mine
         yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "subtree": pa.array(found, pa.int64())})
@@ -243,8 +261,8 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hosts, found, which, contexts = [], [], [], []
         for host, page, again in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "templates"))):
-            top, _ = content(parse(page or ""))
-            own = digests(top)
+            top, _ = content(root := parse(page or ""))
+            own = digests(root)
             if not (mine := repeatable(top, own).intersection(again)):
                 continue
             rest = " ".join(blocks(top, frozenset(mine), own)).split()
@@ -263,8 +281,8 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
         for page, gone in zip(batch.column("html").to_pylist(), batch.column("templates").to_pylist()):
-            top, article = content(parse(page or ""))
-            text = "\n".join(blocks(top, frozenset(gone), digests(top)) if gone else blocks(top))
+            top, article = content(root := parse(page or ""))
+            text = "\n".join(blocks(top, frozenset(gone), digests(root)) if gone else blocks(top))
             # An article that other pages repeat is still the text of its own page.
             texts.append("\n".join(blocks(top)) if article and not text else text)
         yield pa.RecordBatch.from_arrays(
