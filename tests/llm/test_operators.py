@@ -148,6 +148,17 @@ def test_set_join(docs):
     assert kept.columns == docs.columns and kept.where("text = 'one'").count() == 1
 
 
+def test_keep_first_by_row(spark):
+    alone = lambda k: " ".join(f"k{k}w{i}" for i in range(30))
+    near = lambda k: alone(k) + " more"
+    # Row 3 has a copy without an id and one under a repeated id; two pairs of near copies have no id, or one and the same.
+    rows = [(3, alone(0)), (None, alone(0)), (5, near(0)), (5, alone(1)), (5, alone(1)), (None, alone(2)), (None, near(3)), (None, alone(3)),
+            (7, alone(4)), (7, near(4)), (None, alone(4)), (None, alone(5)), (None, None), (8, "")]
+    kept = Counter(map(tuple, set_join.keep_first(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()))
+    assert all(kept[r] == 1 for r in ((3, alone(0)), (5, alone(1)), (None, alone(2)), (None, alone(5)), (None, None), (8, "")))
+    assert kept[None, alone(3)] + kept[None, near(3)] == 1 and kept[7, alone(4)] + kept[7, near(4)] == 1 and sum(kept.values()) == 8
+
+
 def test_divide_skip():
     r = np.random.default_rng(3)
     base = r.integers(0, 2**63, 400, dtype=np.uint64)

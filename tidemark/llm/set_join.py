@@ -27,7 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._hashing import mix, pieces, shingles, texts_of, word_hashes
@@ -96,7 +96,12 @@ def frequency_levels(docs: DataFrame) -> np.ndarray:
     return np.ceil(np.log2(np.maximum(counts / usual, 1))).astype(np.uint8)
 
 
-SUMMARY = "doc_id long, cls long, n long, prefix array<long>, bits binary"
+SUMMARY = "doc_id long, row long, cls long, n long, prefix array<long>, bits binary"
+
+
+def row_key() -> Column:
+    """The key of a row: rows of one id may have different texts, and rows without an id are not one document."""
+    return F.xxhash64("doc_id", "text")
 
 
 def summaries(docs: DataFrame, levels: np.ndarray) -> DataFrame:
@@ -106,7 +111,7 @@ def summaries(docs: DataFrame, levels: np.ndarray) -> DataFrame:
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = np.frombuffer(held.value, np.uint8)
         for batch in batches:
-            texts, ids = texts_of(batch.column("text")), batch.column("doc_id")
+            texts = texts_of(batch.column("text"))
             keys, sizes, prefixes, bits = [], [], [], []
             for found in sets_of(texts):
                 n = len(found)
@@ -119,11 +124,11 @@ def summaries(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                 shape[(found >> np.uint64(40)) % np.uint64(SHAPE)] = 1
                 bits.append(np.packbits(shape).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
-                ["doc_id", "cls", "n", "prefix", "bits"],
+                [batch.column("doc_id"), batch.column("row"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
+                ["doc_id", "row", "cls", "n", "prefix", "bits"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(summarise, SUMMARY)
+    return docs.select("doc_id", "text", row_key().alias("row")).mapInArrow(summarise, SUMMARY)
 
 
 def grouped(batches: Iterator[pa.RecordBatch], keys: list[str], size: int) -> Iterator[pa.Table]:
@@ -321,13 +326,9 @@ def together(df: DataFrame, by: list[str], work: Callable, schema: str) -> DataF
     return df.repartition(n, *by).sortWithinPartitions(*by).mapInArrow(work, schema)
 
 
-def jaccard_classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of `docs` (doc_id, text).
-
-    A-Z are folded, words are cut at ASCII white space; a text of fewer than five words is one shingle, one without words
-    (or null) has none and links with nothing: its component is its own id. Repeated rows and ids are all
-    returned; a null id is never a component's smallest unless all are null.
-    """
+def classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The summaries of all rows, and (cls, label, component_id) for each class: a component's label, unlike its
+    smallest id, is never null."""
     docs = docs.select("doc_id", "text")
     all_rows = staged(summaries(docs, frequency_levels(docs)), "set-summaries")
     classes = staged(all_rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")), "set-classes")
@@ -357,7 +358,17 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     labels = components(links).withColumnRenamed("id", "cls")
     least = classes.select("cls", "doc_id").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     roots = least.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_class = staged(least.join(roots, "label").select("cls", "component_id"), "set-components")
+    return all_rows, staged(least.join(roots, "label").select("cls", "label", "component_id"), "set-components")
+
+
+def jaccard_classes(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of `docs` (doc_id, text).
+
+    A-Z are folded, words are cut at ASCII white space; a text of fewer than five words is one shingle, one without words
+    (or null) has none and links with nothing: its component is its own id. Repeated rows and ids are all
+    returned; a null id is never a component's smallest unless all are null.
+    """
+    all_rows, of_class = classed(docs)
     return all_rows.select("doc_id", "n", "cls").join(of_class, "cls", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
@@ -368,9 +379,12 @@ def op10_jaccard_join(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One row of `docs` for each component: that of the smallest doc_id. Rows without words each stay."""
-    found = staged(jaccard_classes(docs), "set-result").select(F.col("doc_id").alias("_id"), "component_id", "n_shingles")
-    extra = found.where("n_shingles > 0 AND NOT (_id <=> component_id)").select("_id").distinct()
-    kept = docs.join(extra, docs["doc_id"].eqNullSafe(extra["_id"]), "left_anti")
+    """One row of `docs` for each component: that of the smallest doc_id (nulls last), then row key. Rows without words
+    each stay. It is rows that stay or go: others with the same id, or without one, are not touched."""
+    all_rows, of_class = classed(docs)
+    found = staged(all_rows.where("n > 0").join(of_class, "cls").select("doc_id", "row", "label"), "set-result")
+    first = found.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row")).alias("least"))
+    extra = found.select("row").distinct().join(first.select(F.col("least.row").alias("row")), "row", "left_anti").withColumnRenamed("row", "_row")
+    kept = docs.withColumn("_row", row_key()).join(extra, "_row", "left_anti")
     # Repeated rows of one id are one document.
-    return kept.dropDuplicates(["doc_id", "text"])
+    return kept.dropDuplicates(["_row", "doc_id", "text"]).select(docs.columns)
