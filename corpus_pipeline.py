@@ -46,7 +46,7 @@ STAGES = [
     ("token tables", tokenise),
 ]
 
-#: Tokenising is not SQL; tests/llm holds the pipeline against a brute-force version.
+#: Tokenising is not SQL. tests/llm checks the stages' operators one by one; no test runs the stages in a row.
 ORACLE_SQL = None
 
 
