@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import decode, names, rules
 from tidemark.operators import aggregates, asof, checks, merge, reconcile
-from tidemark.plans import domain, schedule
-from tidemark.sources import reference, tables
+from tidemark.plans import contracts, domain, gold, schedule
+from tidemark.sources import reference, swap
+from tidemark.sources.tables import Table
+from tidemark import submit
 from tidemark.streaming import runner
 
 RECORD = "kafka_key string, payload string, kafka_partition int, kafka_offset bigint, kafka_timestamp timestamp, ingested_at timestamp"
@@ -54,6 +56,13 @@ def test_asof_boundary_and_dead_letters(spark):
     b = asof.asof_window(facts, rates, "c", "day", "q", "rd", ["id"])
     assert sorted(map(tuple, a.select("id", "rate").collect())) == sorted(map(tuple, b.select("id", "rate").collect())) == sorted(
         [(i, None if i == 0 or i > 9 else 1.0 if i < 3 else 2.0) for i in range(12)] + [(99, None)])
+    # Two fixings of one day: the higher counts, nothing is looked up ahead, and no fact comes twice. Other bases don't count.
+    more = spark.createDataFrame([("A", dt.date(2026, 1, 2), 0.5), ("A", dt.date(2026, 1, 4), 1.5), ("A", None, 7.0)], "q string, rd date, rate double")
+    for again in (asof.asof_interval(facts, rates.union(more), "c", "day", "q", "rd"), asof.asof_window(facts, rates.union(more), "c", "day", "q", "rd", ["id"])):
+        assert sorted(map(tuple, again.select("id", "rate").collect())) == sorted(map(tuple, a.select("id", "rate").collect()))
+    based = spark.createDataFrame([(dt.date(2026, 1, 2), "EUR", "GBP", 0.5), (dt.date(2026, 1, 2), "USD", "GBP", 9.0), (dt.date(2026, 1, 2), "USD", "EUR", 9.0)], "rate_date date, base string, quote string, rate double")
+    card = spark.createDataFrame([("GBP", dt.date(2026, 1, 3), Decimal(1), "00"), ("JPY", dt.date(2026, 1, 3), Decimal(1), "00")], "currency string, auth_date date, amount decimal(18,2), response_code string")
+    assert [(r.currency_known, r.amount_eur) for r in asof.in_euro(card, based).orderBy("currency").collect()] == [(True, Decimal(2)), (False, None)]
     rejects = spark.createDataFrame([("r", "k", None, 1, 6)], "reason string, kafka_key string, payload string, kafka_partition int, kafka_offset bigint")
     assert json.loads(decode.dead_letters(rejects, domain.CARDS_TOPIC).first().value) == {"reason": "r", "topic": domain.CARDS_TOPIC, "partition": 1, "offset": 6}
 
@@ -67,10 +76,10 @@ def test_candles(spark):
     c = found["BTC-USD", 15]
     assert (c.open, c.high, c.low, c.close, c.volume, c.trades, c.vwap) == (90, 110, 90, 110, 5, 3, 96) and len(found) == 3
     assert found["BTC-EUR", 0].vwap == Decimal("73818.56") and found["BTC-EUR", 0].notional == Decimal("73818.56") * Decimal("0.00222221")
-    result = checks.run([checks.offending("c", aggregates.candles(df), checks.CANDLE), checks.repeated("k", aggregates.candles(df), ["product_id", "bucket"])])
+    result = checks.run([checks.holds("c", aggregates.candles(df), *checks.candle_tests()), checks.repeated("k", aggregates.candles(df), ["product_id", "bucket"])])
     checks.enforce(result)
     with pytest.raises(RuntimeError, match="bad"):
-        checks.enforce(checks.run([checks.offending("bad", df, "price > 1")]))
+        checks.enforce(checks.run([checks.holds("bad", df, F.col("price") <= 1)]))
 
 
 def test_merges_are_idempotent(spark):
@@ -97,6 +106,11 @@ def test_reconcile(spark):
     assert go(side([*range(13), 30]), side([11, 12, 13, 14], [(12, 101)])) == (2, 0, 2, 1)
     lost = reconcile.compare(side(range(10, 16)), side([10, 11, 13, 14, 15]), ["trade_id"], ["price"]).first()
     assert tuple(lost) == (5, 1, 0, 0) and reconcile.differs(lost)
+    rebuilt = side(range(10, 15)).withColumn("notional", F.when(F.col("trade_id") != 12, 1))
+    short = reconcile.compare(side(range(10, 15)), rebuilt, ["trade_id"], ["price"], "notional").first()
+    assert tuple(short) == (5, 0, 0, 0, 1) and short.no_notional == 1 and reconcile.differs(short)
+    assert not reconcile.differs(reconcile.compare(side(range(10, 15)), rebuilt.fillna(0), ["trade_id"], ["price"], "notional").first())
+    assert reconcile.differs(reconcile.compare(side([1]), side([2]), ["trade_id"], ["price"]).first())
 
 
 def test_names_and_reference_loads(spark, tmp_path):
@@ -118,32 +132,146 @@ def test_names_and_reference_loads(spark, tmp_path):
     assert cards.collect() == reference.synthetic_cards(spark, 2000).collect() and 5 < cards.where("key IS NULL OR value NOT LIKE '%amount%' OR value LIKE '%XXX%' OR value LIKE '%:-%'").count() < 60
 
 
-def test_tables_streams_and_plans(spark, tmp_path):
-    at = f"file://{tmp_path}"
-    t = tables.VersionedTable(spark, f"{at}/t", "k int, day string")
-    assert t.read().count() == 0
-    t.commit(spark.createDataFrame([(1, "a"), (2, "b")], "k int, day string"))
-    t.replace_partitions(spark.createDataFrame([(3, "b")], "k int, day string"), "day")
-    assert sorted(map(tuple, t.read().collect())) == [(1, "a"), (3, "b")] and t.read(0).count() == 2
+def test_tables(spark, tmp_path):
+    at, rows = f"file://{tmp_path}", lambda t: sorted(map(tuple, t.read().collect()))
+    t = Table(spark, f"{at}/t", "k int, day string, at bigint", "day", ("at",))
+    make = lambda *r: spark.createDataFrame(r, "k int, day string, at bigint")
+    assert t.read().count() == 0 and not t.exists()
+    t.append(make((1, "a", 5), (2, "b", 6)))
+    t.append(spark.createDataFrame([], "k int, day string, at bigint"))
+    t.replace_partitions(make((3, "b", 9), (4, None, 1)))
+    assert rows(t) == [(1, "a", 5), (3, "b", 9), (4, None, 1)] and t.read(0).count() == 2 and t.versions() == [0, 1]
+    # Appending leaves what is there alone, and a scan opens only pieces that can hold what is looked for.
+    before = {p["folder"] for p in t.pieces()}
+    t.insert_new(make((3, "b", 9), (5, "c", 9), (5, "c", 9)), ["k"])
+    assert before < {p["folder"] for p in t.pieces()} and rows(t)[-1] == (5, "c", 9) and len(rows(t)) == 4
+    assert {r.k for r in t.scan("b").collect()} == {3, 4, 5} and {r.k for r in t.scan(None, {"at": 6}).collect()} == {3, 5}
+    for i in range(3):
+        t.append(make((10 + i, "c", i)))
+    t.compact(2)
+    assert len(t.pieces()) == 4 and len(rows(t)) == 7
+    t.expire(1)
+    assert len(t.versions()) == 1 and len(rows(t)) == 7
+    with pytest.raises(RuntimeError, match="another writer"):
+        t._commit([], [v - 1 for v in t.versions()])
     t.rename(f"{at}/u")
-    assert t.read().count() == 2
+    assert len(rows(t)) == 7
+    t.overwrite(t.read().where("k = 1"))
+    assert rows(t) == [(1, "a", 5)]
+    t.overwrite(t.read().limit(0))
+    assert rows(t) == [] and t.exists()
+    days = Table(spark, f"{at}/d", "k int, x timestamp", "days(x)")
+    days.append(spark.createDataFrame([(i, NOW + dt.timedelta(days=i)) for i in range(3)], "k int, x timestamp"))
+    assert sorted(p["part"] for p in days.pieces()) == ["2026-09-28", "2026-09-29", "2026-09-30"] and days.scan(dt.date(2026, 9, 30)).count() == 1
+
+
+def test_swap():
     named = {"live": "s", "v1": "s_v1", "v2": "s_v2"}
-    assert tables.swap_plan("v2", named, {"s", "s_v2"}.__contains__) == [("s", "s_v1"), ("s_v2", "s")]
-    for held in ({"s"}, {"s", "s_v1", "s_v2"}):
-        with pytest.raises(ValueError):
-            tables.swap_plan("v2", named, held.__contains__)
+    held = {"s", "s_v2"}
+
+    def rename(a, b):
+        held.remove(a)
+        held.add(b)
+
+    with pytest.raises(ValueError, match="differs"):
+        swap.switch("v2", named, held.__contains__, rename, lambda: True)
+    assert swap.switch("v2", named, held.__contains__, rename, lambda: True, force=True) == [("s", "s_v1"), ("s_v2", "s")] and held == {"s", "s_v1"}
+    with pytest.raises(ValueError, match="missing"):
+        swap.moves("v2", named, held.__contains__)
+    assert swap.switch("v1", named, held.__contains__, rename, lambda: True) == [("s", "s_v2"), ("s_v1", "s")] and held == {"s", "s_v2"}
+    with pytest.raises(ValueError, match="in the way"):
+        swap.moves("v2", named, {"s", "s_v1", "s_v2"}.__contains__)
+    with pytest.raises(ValueError, match="none of"):
+        swap.moves("v3", named, held.__contains__)
+
+
+def test_streams(spark, tmp_path):
     held = spark.createDataFrame([(0, 4), (0, 7), (1, 2)], "kafka_partition int, kafka_offset bigint")
-    assert json.loads(runner.resume_start(False, "t", [0, 1, 2], held)) == {"t": {"0": 8, "1": 3, "2": -2}}
-    assert runner.resume_start(True, "t", [0], held) == "earliest"
-    assert runner.settings({}) == ("available-now", 300) and runner.settings({"PLATFORM_SCALE": "full"}) == ("30 seconds", 0)
+    assert json.loads(runner.starting_offsets("t", [0, 1, 2], [held, held])) == {"t": {"0": 8, "1": 3, "2": -2}}
+    assert runner.starting_offsets("t", [0], [held], True) == runner.starting_offsets("t", [0], [held.limit(0)]) == "earliest"
+    assert runner.pace_of({}) == runner.Pace(None, 300) and runner.pace_of({"PLATFORM_SCALE": "full"}) == runner.Pace("30 seconds")
+    assert runner.pace_of({"TRIGGER": "5 seconds", "RUN_EVERY": "9"}).every == 0 and runner.pace_of({"RUN_EVERY": "9"}).trigger == {"availableNow": True}
     with pytest.raises(ValueError):
-        runner.settings({"PLATFORM_SCALE": "huge"})
+        runner.pace_of({"PLATFORM_SCALE": "huge"})
     clock = iter([0.0, 1.0, 5.0, 5.0]).__next__
     loads = []
     side = runner.SideInput(lambda: loads.append(1) or spark.range(1), 3, clock)
     [side.get() for _ in range(3)]
     assert len(loads) == 2
-    assert schedule.first_run(set()) == ["fx_rates", "sanctions"] and schedule.first_run({"fx_rates", "sanctions"}) == ["gold"]
+    runs = []
+    with pytest.raises(KeyError):
+        runner.repeat(lambda: runs.append(1) or (len(runs) == 3 and {}[0]), 0.01)
+    assert len(runs) == 3
+    # One stream that fails ends the other, which would go on for ever, and its error comes out.
+    landing = reference.Landing(str(tmp_path), "t", 2, most=3)
+    for i in range(5):
+        landing.publish("k", str(i))
+    landing.flush()
+    assert (landing.delivered, landing.dropped) == (3, 2)
+    log, seen = runner.file_log(spark, f"file://{tmp_path}/*.parquet"), []
+    endless = runner.start(log, lambda batch, _: seen.extend(r.value for r in batch.collect()), f"file://{tmp_path}/a", runner.Pace("100 milliseconds"))
+    failing = runner.start(log, lambda batch, _: {}["missing"], f"file://{tmp_path}/b")
+    with pytest.raises(Exception, match="missing"):
+        runner.finish(spark, [endless, failing])
+    assert not endless.isActive
+    spark.streams.resetTerminated()
+
+
+def test_feed():
+    lived, waited, out = iter([0, 1, 1, 3, 3, 103, 200, 201]).__next__, [], []
+    texts = iter([OSError(), OSError(), OSError(), [json.dumps(TRADE | {"type": "match"}), '{"type":"heartbeat"}', '{"type":"error","message":"no"}']])
+
+    def connect():
+        got = next(texts)
+        if isinstance(got, OSError):
+            raise got
+        return got
+
+    with pytest.raises(reference.FeedError):
+        reference.feed(connect, lambda k, v: out.append((k, json.loads(v))), lived, waited.append)
+    assert waited == [1, 2, 1] and out == [("BTC-USD", TRADE)]
+    pause = reference.waits(8)
+    assert [next(pause) for _ in range(5)] == [1, 2, 4, 8, 8]
+
+
+def test_reference_jobs(spark, tmp_path):
+    at = f"file://{tmp_path}"
+    t = {n: Table(spark, f"{at}/{n}", *domain.TABLES[n]) for n in domain.TABLES}
+    asked = []
+    fetch = lambda a, b: asked.append((a, b)) or '{"base":"EUR","rates":{"2026-01-09":{"GBP":0.8}}}'
+    for _ in range(2):
+        reference.load_rates(t["fx_rates"], fetch, dt.date(2026, 1, 10), dt.date(2025, 1, 1))
+    assert asked == [(dt.date(2025, 1, 1), dt.date(2026, 1, 10)), (dt.date(2026, 1, 2), dt.date(2026, 1, 10))] and t["fx_rates"].read().count() == 1
+    assert reference.fetch_rates(dt.date(2026, 1, 1), dt.date(2026, 1, 2), get=lambda url: url).endswith("/2026-01-01..2026-01-02?base=EUR")
+    listed = spark.createDataFrame([("T", "Company", "Some Name Ltd")], "target_id string, schema string, name string").selectExpr("*", *[f"cast(null AS string) AS {c}" for c in ("aliases", "countries", "program_ids", "sanctions")], *[f"cast(null AS timestamp) AS {c}" for c in ("first_seen", "last_seen", "last_change")])
+    now = F.lit("2026-01-01").cast("timestamp")
+    with pytest.raises(ValueError):
+        reference.load_targets(t["sanctions_targets"], t["sanctions_names"], listed, now)
+    reference.load_targets(t["sanctions_targets"], t["sanctions_names"], listed, now, 1)
+    assert t["sanctions_names"].read().first().name_norm == "some name"
+    # Gold over empty silver tables: nothing is made, nothing is wrong.
+    assert gold.build(t, dt.date(2026, 1, 2)).where("NOT passed").count() == 0 and gold.rebuilt_since(t["card_auth_daily"], dt.date(2026, 1, 2)) == gold.BEGINNING
+
+
+def test_plans(spark):
+    assert schedule.first_run(set()) == [("first-run-fx_rates", "fx_rates"), ("first-run-sanctions", "sanctions")]
+    made = {"fx_rates", "sanctions_targets"}
+    assert schedule.first_run(made) == [("first-run-sanctions", "sanctions")]
+    with pytest.raises(ValueError):
+        schedule.materialise("gold", {"gold": lambda: 1}, made)
+    made.add("sanctions_names")
+    assert schedule.first_run(made) == [("first-run-gold", "gold")] and schedule.materialise("gold", {"gold": lambda: 1}, made) == 1 and schedule.first_run(made) == []
+    assert schedule.lineage("sanctions_hits") == {"card_auths", "fx_rates", "sanctions_names", "sanctions_targets"}
+    c = contracts.CONTRACTS["card_auth_daily"]
+    assert set(contracts.CONTRACTS) == set(domain.TABLES) and all(set(k.key) <= set(k.columns()) and set(k.optional) <= set(k.columns()) for k in contracts.CONTRACTS.values())
+    assert all(not set(contracts.CONTRACTS[t].columns()) & set(contracts.PERSONAL) for t in ("crypto_ohlcv_1m", "card_auth_daily", "sanctions_hits"))
+    rows = spark.createDataFrame([(dt.date(2026, 1, 1), None, "EUR", "pos", 1, 1, 1.0, Decimal(1), Decimal(1), Decimal(1), NOW)] * 2, domain.DAILY)
+    assert {tuple(r) for r in c.violations(rows, NOW + dt.timedelta(minutes=71)).collect()} == {("merchant_country is null", 2), ("key is repeated", 1), ("newest row is too old", 1)}
+    assert c.violations(rows.limit(1).fillna("GB"), NOW + dt.timedelta(minutes=70)).count() == 0
+    for wrong in (rows.drop("auths"), rows.withColumn("auths", F.lit("x")), rows.withColumn("card_token", F.lit("t"))):
+        with pytest.raises(ValueError):
+            c.violations(wrong)
     days, kept = merge.repair(spark.createDataFrame([(1, 1, "a"), (1, 2, "a"), (2, 1, "b")], "k int, at int, day string"), ["k"], "at", "day")
     assert [r.day for r in days.collect()] == ["a"] and list(map(tuple, kept.collect())) == [(1, 1, "a")]
-    assert reference.backoff(5, 4) == 4 and reference.backoff(100, 32) == 1
+    assert submit.command("streams", "x.py")[:5] == ["spark-submit", "--master", "local[2]", "--driver-memory", "512m"]
+    assert submit.lineage_settings("http://a:1", up=lambda _: False) == {} and "spark.extraListeners" in submit.lineage_settings("http://a:1", up=lambda _: True)

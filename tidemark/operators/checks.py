@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def offending(name: str, df: DataFrame, bad: str) -> DataFrame:
-    return df.agg(F.count_if(F.coalesce(F.expr(bad), F.lit(False))).alias("n")).select(F.lit(name).alias("check"), F.col("n").alias("offending_rows"))
+def _counted(name: str, df: DataFrame, n: Column) -> DataFrame:
+    return df.agg(F.coalesce(n, F.lit(0)).cast("long").alias("n")).select(F.lit(name).alias("check"), F.col("n").alias("offending_rows"))
+
+
+def holds(name: str, df: DataFrame, *tests: Column) -> DataFrame:
+    """Rows that break one of the tests. An unknown (null) one is not broken."""
+    return _counted(name, df, F.count_if(F.coalesce(~reduce(and_, tests), F.lit(False))))
 
 
 def repeated(name: str, df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.groupBy(*keys).count().agg(F.count_if(F.col("count") > 1).alias("n")).select(F.lit(name).alias("check"), F.col("n").alias("offending_rows"))
+    """Keys that more than one row has."""
+    return _counted(name, df.groupBy(*keys).count(), F.count_if(F.col("count") > 1))
 
 
 def same_total(name: str, summed: DataFrame, column: str, rows: DataFrame) -> DataFrame:
@@ -24,12 +31,21 @@ def same_total(name: str, summed: DataFrame, column: str, rows: DataFrame) -> Da
 
 def unlisted(name: str, hits: DataFrame, targets: DataFrame) -> DataFrame:
     """Hits whose target isn't listed any more, or never was."""
-    listed = targets.where("delisted_at IS NULL").select("target_id")
-    return hits.join(listed, "target_id", "left_anti").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("check"), F.col("n").alias("offending_rows"))
+    return _counted(name, hits.join(targets.where("delisted_at IS NULL").select("target_id"), "target_id", "left_anti"), F.count(F.lit(1)))
+
+
+def filled(name: str, df: DataFrame, column: str) -> DataFrame:
+    """Rows in which a text is null or blank."""
+    return _counted(name, df, F.count_if(F.trim(F.coalesce(F.col(column), F.lit(""))) == ""))
+
+
+def candle_tests() -> list[Column]:
+    """What any candle fulfils: prices inside [low, high], and something traded."""
+    return [F.col(c).between(F.col("low"), F.col("high")) for c in ("open", "close", "vwap")] + [F.col(c) > 0 for c in ("volume", "trades")]
 
 
-CANDLE = "NOT (low <= open AND open <= high AND low <= close AND close <= high AND low <= vwap AND vwap <= high AND volume > 0 AND trades > 0)"
-SHARE = "approval_rate < 0 OR approval_rate > 1 OR approved > auths"
+def share_tests() -> list[Column]:
+    return [F.col("approval_rate").between(0, 1), F.col("auths") >= F.col("approved")]
 
 
 def run(checks: list[DataFrame]) -> DataFrame:

@@ -16,22 +16,25 @@ def span(live: DataFrame, rebuilt: DataFrame) -> DataFrame:
     )
 
 
-def compare(live: DataFrame, rebuilt: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """One row: in_both, only_live, only_replayed, changed. Differences of offset don't count."""
+def compare(live: DataFrame, rebuilt: DataFrame, keys: list[str], values: list[str], added: str | None = None) -> DataFrame:
+    """One row: in_both, only_live, only_replayed, changed, and with `added`, a column that only the rebuilt table has, its nulls
+    there as no_<added>. Differences of offset don't count."""
     within = span(live, rebuilt)
 
-    def side(df: DataFrame, name: str) -> DataFrame:
-        inside = df.join(within, PARTITION).where(F.col(OFFSET).between(F.col("lo"), F.col("hi")))
-        return inside.select(*keys, F.struct(*values).alias(name))
+    def side(df: DataFrame, name: str, columns: list[str]) -> DataFrame:
+        inside = df.join(F.broadcast(within), PARTITION).where(F.col(OFFSET).between(F.col("lo"), F.col("hi")))
+        return inside.select(*keys, F.struct(*values).alias(name), *columns)
 
-    both = side(live, "l").join(side(rebuilt, "r"), keys, "full_outer")
+    more = [added] if added else []
+    both = side(live, "l", []).join(side(rebuilt, "r", more), keys, "full_outer")
     here, there = F.col("l").isNotNull(), F.col("r").isNotNull()
     return both.agg(
         F.count_if(here & there).alias("in_both"), F.count_if(here & ~there).alias("only_live"), F.count_if(~here & there).alias("only_replayed"),
-        F.count_if(here & there & ~F.col("l").eqNullSafe(F.col("r"))).alias("changed"),
+        F.count_if(here & there & ~F.col("l").eqNullSafe(F.col("r"))).alias("changed"), *[F.count_if(there & F.col(c).isNull()).alias(f"no_{c}") for c in more],
     )
 
 
 def differs(row) -> bool:
-    """Whether a comparison forbids a swap; one without overlap does."""
-    return not row["in_both"] or bool(row["only_live"] or row["only_replayed"] or row["changed"])
+    """Whether a comparison forbids a swap: any difference does, and so does having nothing in common."""
+    found = row.asDict()
+    return found.pop("in_both") == 0 or any(found.values())

@@ -1,62 +1,62 @@
-"""Assets, what they need, when they run, and what a first run should start; contracts of the products."""
+"""Assets, what they need, when they run, and what a first run should start."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Callable
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
 class Asset:
+    """What one job makes: its tables, the assets that have to be there before, and its schedule."""
+
     name: str
+    makes: tuple[str, ...]
     needs: tuple[str, ...] = ()
     cron: str = ""
     zone: str = "UTC"
 
 
+# Names, tables and schedules of the assets, and what the gold tables are made from.
 ASSETS = {
     a.name: a
     for a in (
-        Asset("fx_rates", (), "30 16 * * 1-5", "Europe/Berlin"),
-        Asset("sanctions", (), "15 6 * * *", "Europe/London"),
-        Asset("gold", ("fx_rates", "sanctions"), "20 * * * *"),
+        Asset("fx_rates", ("fx_rates",), (), "30 16 * * 1-5", "Europe/Berlin"),
+        Asset("sanctions", ("sanctions_targets", "sanctions_names"), (), "15 6 * * *", "Europe/London"),
+        Asset("gold", ("crypto_ohlcv_1m", "card_auth_daily", "sanctions_hits"), ("fx_rates", "sanctions"), "20 * * * *"),
     )
 }
-UPSTREAM = {"crypto_ohlcv_1m": ("trades",), "card_auth_daily": ("card_auths",), "sanctions_hits": ("card_auths", "sanctions_names")}
+UPSTREAM = {
+    "sanctions_names": ("sanctions_targets",),
+    "card_auths": ("fx_rates",),
+    "crypto_ohlcv_1m": ("trades",),
+    "card_auth_daily": ("card_auths",),
+    "sanctions_hits": ("card_auths", "sanctions_names", "sanctions_targets"),
+}
 
 
-def first_run(materialised: set[str]) -> list[str]:
-    """Assets to start: those never made whose needs all are."""
-    return [a.name for a in ASSETS.values() if a.name not in materialised and set(a.needs) <= materialised]
+def first_run(made: set[str]) -> list[tuple[str, str]]:
+    """(run key, asset) to start: assets of which a table was never made, once all they need is there. The same request has the same key, so
+    asking again starts nothing twice."""
+    done = {a.name for a in ASSETS.values() if set(a.makes) <= made}
+    return [(f"first-run-{a.name}", a.name) for a in ASSETS.values() if a.name not in done and set(a.needs) <= done]
 
 
-@dataclass(frozen=True)
-class Contract:
-    """Columns as name -> type, the key, columns that may not be null, and how old the newest row may be."""
+def lineage(table: str) -> set[str]:
+    """All tables that a table is made from, directly or not."""
+    found: set[str] = set()
+    left = list(UPSTREAM.get(table, ()))
+    while left:
+        if (one := left.pop()) not in found:
+            found.add(one)
+            left += UPSTREAM.get(one, ())
+    return found
 
-    name: str
-    columns: dict[str, str]
-    key: tuple[str, ...]
-    required: tuple[str, ...] = ()
-    fresh_minutes: int = 0
-    private: tuple[str, ...] = field(default=())
-
-    def violations(self, df: DataFrame) -> DataFrame:
-        """(rule, offending_rows): null keys and required columns; repeated keys. Raises if columns or types differ."""
-        found = dict(df.dtypes)
-        if wrong := {c: found.get(c) for c, t in self.columns.items() if found.get(c) != t}:
-            raise ValueError(f"{self.name}: columns {wrong}")
-        if seen := set(self.private) & set(found):
-            raise ValueError(f"{self.name}: private columns {seen}")
-        nulls = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in dict.fromkeys((*self.key, *self.required))))
-        stacked = nulls.select(F.explode(F.array(*(F.struct(F.lit(f"{c} is null").alias("rule"), F.col(c).alias("offending_rows")) for c in nulls.columns))).alias("v")).select("v.*")
-        repeated = df.groupBy(*self.key).count().where("count > 1").agg(F.count(F.lit(1)).alias("offending_rows")).select(F.lit("key is repeated").alias("rule"), "offending_rows")
-        return stacked.unionByName(repeated)
-
-
-CONTRACTS = {
-    "crypto_ohlcv_1m": Contract("crypto_ohlcv_1m", {"product_id": "string", "bucket": "timestamp", "open": "decimal(30,12)", "trades": "bigint"}, ("product_id", "bucket"), ("open", "high", "low", "close"), 70, ("card_token", "payload")),
-    "card_auth_daily": Contract("card_auth_daily", {"auth_date": "date", "auths": "bigint", "approval_rate": "double"}, ("auth_date", "merchant_country", "currency", "channel"), (), 70, ("card_token", "payload")),
-}
+
+def materialise(asset: str, jobs: dict[str, Callable[[], object]], made: set[str]) -> object:
+    """Run the asset's job, if what it needs was made; its tables count as made after that."""
+    if missing := [n for n in ASSETS[asset].needs if not set(ASSETS[n].makes) <= made]:
+        raise ValueError(f"{asset} needs {', '.join(missing)}")
+    result = jobs[asset]()
+    made.update(ASSETS[asset].makes)
+    return result
