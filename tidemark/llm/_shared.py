@@ -15,6 +15,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A lookup table of at most this many rows may be broadcast; its row count is always taken first.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,10 +39,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` (a staged table) with a broadcast hint if its counted rows are within the bound, else as it is:
-    the join then shuffles, and adaptive execution splits skewed partitions."""
-    return F.broadcast(df) if df.count() <= rows else df
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, wide: Column | None = None) -> DataFrame:
+    """`df` (a staged table) with a broadcast hint if its counted rows are within the bound, and the bytes of its `wide` column, if it
+    has one, within BROADCAST_BYTES; else as it is: the join then shuffles, and adaptive execution splits skewed partitions."""
+    n, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(wide), F.lit(0)) if wide is not None else F.lit(0)).first()
+    return F.broadcast(df) if n <= rows and size <= BROADCAST_BYTES else df
+
+
+def spread_join(rows: DataFrame, one: DataFrame, key: str, weight: str) -> DataFrame:
+    """`rows` with the columns of `one` (a staged table, a row a key, which `weight` rows have), nulls where it lacks the key. Keys
+    that have over a thousandth of all rows, fewer than a thousand therefore, are broadcast: no task gets all rows of one."""
+    total = one.agg(F.sum(weight)).first()[0] or 0
+    heavy, found = one.where(F.col(weight) * 1000 > total).drop(weight), one.drop(weight)
+    light = rows.join(F.broadcast(heavy.select(key)), key, "left_anti").join(found, key, "left")
+    return rows.join(F.broadcast(heavy), key).unionByName(light)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -63,5 +74,17 @@ def ascii_lower(text: Column) -> Column:
     return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """For each name a column name that `df` does not have yet."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        name = "_" + name
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -6,19 +6,22 @@ ones. That is the split of DivideSkip: the T - 1 most frequent lists can be left
 
 1. Frequencies: a fixed-size table of counters over all shingles (SLOTS of them, whatever the input) orders shingles,
    the frequent ones last. Any one order gives right results; this one keeps common lines and passages out of the merge.
-2. Short lists: each class is posted under its rarest shingles. Within a list, pairs whose sizes and bitmaps (SHAPE bits
-   set by shingle; an exact lower bound on the symmetric difference) allow a link are joined; only a spanning
-   star of each list's joined members leaves the task. Lists beyond CHUNK members are met chunk by chunk, so no task
-   holds more than two chunks.
+2. Short lists: each class is posted under its rarest shingles. Within a list, pairs whose sizes, places in the order and
+   bitmaps (SHAPE bits set by shingle; an exact lower bound on the symmetric difference) allow a link are joined; only a
+   spanning star of each list's joined members leaves the task.
 3. Connected pairs make blocks. The sets of a block's members are read from the texts, and within the block each set is
    searched: short lists are merged by counting, candidates are probed for in the long lists by binary search, and those that
-   reach the exact overlap are linked. Blocks beyond CHUNK members are searched chunk against chunk.
+   reach the exact overlap are linked.
 4. Links are joined to components, labelled with the smallest doc_id.
 
-At scale: the texts are read three times (counters, sets' prefixes, members of blocks) and never shuffled whole; about a fifth of
-the shingles is shuffled once. Exact copies never meet each other, near copies only as class representatives.
-Near copies of one text that differ from each other by more than the threshold need work in the square of their
-number, spread over chunk pairs. Classes have 64-bit keys.
+Lists and blocks beyond CHUNK members are dealt into chunks by hash, and met in two rounds: first each chunk within itself,
+which is linear; then chunk against chunk, but only where members are not connected yet. So a large group of near copies
+costs in proportion to its size once its chunks connect; only members that stay apart meet pair by pair. No task holds more
+than two chunks, and no list of a frequent shingle is numbered in one task.
+
+At scale: the texts are read three times (counters, sets' prefixes, members of blocks) and never shuffled whole: those of
+blocks are picked by a Bloom filter of bounded size first (beyond its bound more texts are shuffled than need be). About a fifth
+of the shingles is shuffled once. Exact copies never meet each other, near copies only as class representatives.
 """
 
 from __future__ import annotations
@@ -31,11 +34,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._hashing import mix, pieces, shingles, texts_of, word_hashes
-from ._shared import staged, table
+from ._row_filter import maybe_in
+from ._shared import WORD, fresh, spread_join, staged, table
 
 PERCENT = 80
 SLOTS = 1 << 20
 SLICES = 64
+#: Tasks whose counters meet in one group before the groups do, so that no group's size follows the number of tasks.
+TASKS = 256
 SHAPE = 1024
 CHUNK = 1024
 #: Sets beyond LONG shingles fill the bitmap, so pairs of them must instead meet in SHARED lists; they are posted under
@@ -79,24 +85,25 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"slice": pa.array(range(SLICES), pa.int32()), "counts": pa.array([p.tobytes() for p in parts], pa.binary())})
 
 
+def _summed(key: tuple, parts: pa.Table) -> pa.Table:
+    total = sum((np.frombuffer(c, "<u4").astype(np.int64) for c in parts.column("counts").to_pylist()), np.zeros(SLOTS // SLICES, np.int64))
+    return pa.table({"slice": pa.array([key[-1].as_py()], pa.int32()), "counts": pa.array([np.minimum(total, 2**32 - 1).astype("<u4").tobytes()], pa.binary())})
+
+
 def frequency_levels(docs: DataFrame) -> np.ndarray:
     """For each slot how many times its shingles exceed twice the usual slot, as a power of two (0: they don't).
-    What comes to the driver is SLOTS numbers, however large the corpus."""
-    def add(key, tables: Iterator[pa.Table]) -> Iterator[pa.Table]:
-        total = sum((np.frombuffer(c, "<u4").astype(np.int64) for t in tables for c in t.column("counts").to_pylist()), np.zeros(SLOTS // SLICES, np.int64))
-        yield pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([np.minimum(total, 2**32 - 1).astype("<u4").tobytes()], pa.binary())})
-
-    parts = docs.select("text").mapInArrow(_counted, "slice int, counts binary")
-    rows = parts.groupBy("slice").applyInArrow(lambda key, t: next(add(key, iter([t]))), "slice int, counts binary").collect()
+    What comes to the driver is SLOTS numbers, however large the corpus; tasks' counters are summed TASKS at a time first."""
+    parts = docs.select("text").mapInArrow(_counted, "slice int, counts binary").withColumn("some", F.floor(F.spark_partition_id() / TASKS).cast("int"))
+    some = parts.groupBy("some", "slice").applyInArrow(_summed, "slice int, counts binary")
     counts = np.zeros((SLICES, SLOTS // SLICES))
-    for r in rows:
+    for r in some.groupBy("slice").applyInArrow(_summed, "slice int, counts binary").collect():
         counts[r[0]] = np.frombuffer(r[1], "<u4")
     counts = counts.ravel()
     usual = max(4.0, 2 * float(np.median(counts)))
     return np.ceil(np.log2(np.maximum(counts / usual, 1))).astype(np.uint8)
 
 
-SUMMARY = "doc_id long, row long, cls long, n long, prefix array<long>, bits binary"
+SUMMARY = "doc_id long, row long, cls long, n long, prefix array<long>, usual int, bits binary"
 
 
 def row_key() -> Column:
@@ -105,27 +112,31 @@ def row_key() -> Column:
 
 
 def summaries(docs: DataFrame, levels: np.ndarray) -> DataFrame:
-    """For each row its class, the number of its shingles, its rarest ones and its bitmap."""
+    """For each row its class, the number of its shingles, its rarest ones (the first `usual` of them in slots of no unusual count)
+    and its bitmap."""
     held = docs.sparkSession.sparkContext.broadcast(levels.tobytes())
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = np.frombuffer(held.value, np.uint8)
         for batch in batches:
             texts = texts_of(batch.column("text"))
-            keys, sizes, prefixes, bits = [], [], [], []
+            keys, sizes, prefixes, usual, bits = [], [], [], [], []
             for found in sets_of(texts):
                 n = len(found)
-                order = np.lexsort((found, level[(found & np.uint64(SLOTS - 1)).astype(np.int64)]))
+                levels_of = level[(found & np.uint64(SLOTS - 1)).astype(np.int64)]
+                order = np.lexsort((found, levels_of))
                 keys.append(class_of(found))
                 sizes.append(n)
                 more = SHARED - 1 if n > LONG else 0
-                prefixes.append(found[order[: n - needed(n) + 1 + more if n else 0]].view(np.int64))
+                order = order[: n - needed(n) + 1 + more if n else 0]
+                prefixes.append(found[order].view(np.int64))
+                usual.append(int(np.count_nonzero(levels_of[order] == 0)))
                 shape = np.zeros(SHAPE, np.uint8)
                 shape[(found >> np.uint64(40)) % np.uint64(SHAPE)] = 1
                 bits.append(np.packbits(shape).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
-                ["doc_id", "row", "cls", "n", "prefix", "bits"],
+                [batch.column("doc_id"), batch.column("row"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(usual, pa.int32()), pa.array(bits, pa.binary())],
+                ["doc_id", "row", "cls", "n", "prefix", "usual", "bits"],
             )
 
     return docs.select("doc_id", "text", row_key().alias("row")).mapInArrow(summarise, SUMMARY)
@@ -174,8 +185,8 @@ def stars(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Stars:
     """The components of links among n members as the links come, in memory that the number of links doesn't change."""
 
-    def __init__(self, n: int):
-        self.label = np.arange(n)
+    def __init__(self, n: int, label: np.ndarray | None = None):
+        self.label = np.arange(n) if label is None else label
         self.a, self.b, self.size = [], [], 0
 
     def add(self, a: np.ndarray, b: np.ndarray) -> None:
@@ -195,19 +206,28 @@ class Stars:
         return far
 
 
+def first_of(*columns: np.ndarray) -> np.ndarray:
+    """For each row the place of the first one with the same values, among rows of one sorted batch."""
+    _, which = np.unique(np.stack([c.astype(np.int64) for c in columns]), axis=1, return_inverse=True)
+    least = np.full(which.max(initial=-1) + 1, len(which))
+    np.minimum.at(least, which.ravel(), np.arange(len(which)))
+    return least[which.ravel()]
+
+
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs in each list that sizes and bitmaps allow, as stars that count SHARED, and pairs of long sets as one each.
-    Rows: token, lo, hi, chunk, cls, n, bits."""
+    """The pairs in each list that sizes, places and bitmaps allow, as stars that count SHARED, and pairs of long sets as one
+    each. Rows: token, lo, hi, chunk, label, cls, n, rest (the shingles from this one on), bits."""
     for t in grouped(batches, ["token", "lo", "hi"], 8192):
         rows = t.num_rows
-        token, lo, hi, chunk, cls, n = (t.column(c).to_numpy() for c in ("token", "lo", "hi", "chunk", "cls", "n"))
+        token, lo, hi, chunk, label, cls, n, rest = (t.column(c).to_numpy() for c in ("token", "lo", "hi", "chunk", "label", "cls", "n", "rest"))
         bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(rows, -1)
         first = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
-        stop = np.repeat(np.r_[first[1:], rows], np.diff(np.r_[first, rows]))
-        crowd = np.repeat(np.add.reduceat((n > LONG).astype(np.int64), first), np.diff(np.r_[first, rows]))
+        group = np.repeat(np.arange(len(first)), np.diff(np.r_[first, rows]))
+        stop = np.r_[first[1:], rows][group]
+        crowd = np.add.reduceat((n > LONG).astype(np.int64), first)[group]
         counted = (n > LONG) & (crowd <= CROWD)
         left = np.arange(rows)
-        found = Stars(rows)
+        found = Stars(rows, first_of(group, label))
         step = 0
         while len(left):
             step += 1
@@ -215,8 +235,11 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             right = left + step
             ok = (lo[left] == hi[left]) | (chunk[left] != chunk[right])
             ok &= 100 * np.minimum(n[left], n[right]) >= PERCENT * np.maximum(n[left], n[right])
+            both = counted[left] & (n[right] > LONG)
+            # At the first shingle in common no more are shared than either has from there on.
+            ok &= both | ((100 + PERCENT) * np.minimum(rest[left], rest[right]) >= PERCENT * (n[left] + n[right]))
             # What is connected already needs no link, but where lists are counted.
-            ok &= (found.label[left] != found.label[right]) | (counted[left] & (n[right] > LONG))
+            ok &= (found.label[left] != found.label[right]) | (both & (label[left] != label[right]))
             a, b = left[ok], right[ok]
             apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
             ok = (100 + PERCENT) * apart <= (100 - PERCENT) * (n[a] + n[b])
@@ -230,7 +253,6 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"a": cls[far], "b": cls[found.label[far]], "n": np.full(len(far), SHARED, np.int64)})
 
 
-
 def components(edges: DataFrame) -> DataFrame:
     """(id, label): for each node of the links (a, b) the smallest node of its component. Each round takes the least label
     among neighbours and then follows labels once more; rounds are written out, and stop when none changes."""
@@ -240,8 +262,9 @@ def components(edges: DataFrame) -> DataFrame:
         near = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("label").alias("near"))
         taken = labels.join(near, labels["id"] == near["a"]).select("id", F.least("label", "near").alias("next"), "label")
         step = staged(taken, "labels-near")
-        heads = step.select(F.col("id").alias("head"), F.col("next").alias("top"))
-        jumped = step.join(heads, step["next"] == heads["head"], "left").select("id", F.least("next", "top").alias("label"), F.col("label").alias("before"))
+        # What points at a node that is its own label is where it will stay, so only the others are looked up.
+        heads = step.where("id <> next").select(F.col("id").alias("head"), F.col("next").alias("top"))
+        jumped = step.join(heads, step["next"] == heads["head"], "left").select("id", F.coalesce("top", "next").alias("label"), F.col("label").alias("before"))
         after = staged(jumped, "labels")
         labels = after.select("id", "label")
         if after.where("label <> before").isEmpty():
@@ -291,74 +314,119 @@ def search(sets: list[np.ndarray], side: np.ndarray | None = None) -> Iterator[t
 
 
 def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning links of each block (or pair of chunks). Rows: block, lo, hi, chunk, cls, n, found."""
+    """Spanning links of each block, chunk or pair of chunks, between members of differing labels.
+    Rows: block, lo, hi, label, cls, found."""
     for t in grouped(batches, ["block", "lo", "hi"], 64):
-        block, lo, hi, chunk, cls = (t.column(c).to_numpy() for c in ("block", "lo", "hi", "chunk", "cls"))
+        block, lo, hi, label, cls = (t.column(c).to_numpy() for c in ("block", "lo", "hi", "label", "cls"))
         values = t.column("found").combine_chunks()
         values = values.chunk(0) if isinstance(values, pa.ChunkedArray) else values
         offsets, flat = values.offsets.to_numpy(), values.values.to_numpy().view(np.uint64)
         first = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
         for i, j in zip(first, np.r_[first[1:], len(block)]):
             order = np.lexsort((cls[i:j], np.diff(offsets[i : j + 1]))) + i
-            sides = chunk[order] if lo[i] != hi[i] else None
             links = Stars(j - i)
-            for x, linked in search([flat[offsets[k] : offsets[k + 1]] for k in order], sides):
+            for x, linked in search([flat[offsets[k] : offsets[k + 1]] for k in order], label[order]):
                 links.add(np.full(len(linked), x), linked)
             if len(far := links.fold()):
                 yield pa.RecordBatch.from_pydict({"a": cls[order[far]], "b": cls[order[links.label[far]]]})
 
 
+def dealt(members: DataFrame, key: str) -> DataFrame:
+    """`members` of keys with two or more, each with the chunk its class falls in and its key's number of chunks (about CHUNK
+    members each). Counts are summed before they are shuffled, and the chunks differ from key to key."""
+    sizes = members.groupBy(F.col(key).alias("_of")).agg(F.count(F.lit(1)).alias("_size")).where("_size > 1")
+    some = members.join(sizes, members[key] == F.col("_of")).withColumn("chunks", F.expr(f"cast((_size + {CHUNK - 1}) div {CHUNK} AS int)"))
+    return some.withColumn("chunk", F.pmod(F.xxhash64("cls", key), "chunks").cast("int")).drop("_of", "_size")
+
+
+def within(members: DataFrame) -> DataFrame:
+    """The first round: each chunk by itself, nothing connected."""
+    return members.withColumns({"lo": F.col("chunk"), "hi": F.col("chunk"), "label": F.col("cls")}).drop("chunks")
 
-def chunked(members: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """`members` with chunk numbers within each key, once for each pair (lo, hi) of chunks it takes part in."""
-    from pyspark.sql import Window
 
-    group = Window.partitionBy(key)
-    numbered = members.withColumn("size", F.count(F.lit(1)).over(group)).where("size > 1")
-    numbered = numbered.withColumn("chunk", F.expr(f"cast((row_number() OVER (PARTITION BY {key} ORDER BY {', '.join(order)}) - 1) div {CHUNK} AS int)"))
-    pairs = numbered.withColumn("other", F.explode_outer(F.expr(f"sequence(0, cast((size - 1) div {CHUNK} AS int))")))
-    return pairs.withColumn("lo", F.least("chunk", "other")).withColumn("hi", F.greatest("chunk", "other")).drop("other", "size")
+def across(members: DataFrame, labels: DataFrame, key: str) -> DataFrame:
+    """The second round: members once for each other chunk of their key, where a key has chunks and is not all connected."""
+    more = members.where("chunks > 1").join(labels, members["cls"] == labels["id"], "left").withColumn("label", F.coalesce("label", "cls")).drop("id")
+    apart = more.groupBy(F.col(key).alias("_of")).agg(F.min("label").alias("_least"), F.max("label").alias("_most")).where("_least <> _most")
+    pairs = more.join(apart.select("_of"), more[key] == F.col("_of")).drop("_of").withColumn("other", F.explode(F.expr("filter(sequence(0, chunks - 1), x -> x <> chunk)")))
+    return pairs.withColumn("lo", F.least("chunk", "other")).withColumn("hi", F.greatest("chunk", "other")).drop("other", "chunks")
 
 
 def together(df: DataFrame, by: list[str], work: Callable, schema: str) -> DataFrame:
     """`work` over partitions in which rows of one `by` are neighbours."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *by).sortWithinPartitions(*by).mapInArrow(work, schema)
+    return df.repartition(*by).sortWithinPartitions(*by).mapInArrow(work, schema)
+
+
+def near_links(classes: DataFrame) -> DataFrame:
+    """Links (a, b) of classes whose components hold those of the true links: what lists, sizes and bitmaps allow."""
+    def posted(tokens: Column, before: Column) -> DataFrame:
+        return classes.select(F.posexplode(tokens).alias("place", "token"), "cls", (F.col("n") - F.col("place") - before).cast("int").alias("rest")).drop("place")
+
+    # Lists of unusually frequent shingles are counted and dealt into chunks. Of the others each is some millionths of all
+    # shingles at most, and is counted in the task that it falls in.
+    usual = posted(F.slice("prefix", 1, F.col("usual")), F.lit(0)).withColumn("_size", F.expr("count(1) OVER (PARTITION BY token)")).where("_size > 1")
+    usual = usual.withColumn("chunks", F.expr(f"cast((_size + {CHUNK - 1}) div {CHUNK} AS int)")).drop("_size").withColumn("chunk", F.pmod(F.xxhash64("cls", "token"), "chunks").cast("int"))
+    others = posted(F.slice("prefix", F.col("usual") + 1, F.size("prefix")), F.col("usual"))
+    lists = staged(usual.unionByName(dealt(others, "token")), "set-lists")
+
+    def met(members: DataFrame) -> DataFrame:
+        carried = members.join(classes.select("cls", "n", "bits"), "cls").select("token", "lo", "hi", "chunk", "label", "cls", "n", "rest", "bits")
+        found = together(carried, ["token", "lo", "hi"], _joined, "a long, b long, n long")
+        return staged(found.groupBy("a", "b").agg(F.sum("n").alias("n")), "set-near")
+
+    def enough(near: DataFrame) -> DataFrame:
+        return near.groupBy("a", "b").agg(F.sum("n").alias("n")).where(f"n >= {SHARED}").select("a", "b")
+
+    near = met(within(lists))
+    if not lists.where("chunks > 1").isEmpty():
+        near = near.unionByName(met(across(lists, components(enough(near)), "token")))
+    return enough(near)
 
 
 def classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The summaries of all rows, and (cls, label, component_id) for each class: a component's label, unlike its
-    smallest id, is never null."""
+    """The summaries of all rows, and for each class (cls, top, rows): the first row of its component, as a struct
+    (without, doc_id, row) in the order of doc_id (nulls last), then row; and how many rows it has."""
     docs = docs.select("doc_id", "text")
     all_rows = staged(summaries(docs, frequency_levels(docs)), "set-summaries")
-    classes = staged(all_rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")), "set-classes")
-    posted = classes.select(F.explode_outer("prefix").alias("token"), "cls")
-    lists = staged(chunked(posted, "token", ["cls"]), "set-lists")
-    carried = lists.join(classes.select("cls", "n", "bits"), "cls").select("token", "lo", "hi", "chunk", "cls", "n", "bits")
-    near = together(carried, ["token", "lo", "hi"], _joined, "a long, b long, n long")
-    near = staged(near.groupBy("a", "b").agg(F.sum("n").alias("n")).where(f"n >= {SHARED}").select("a", "b"), "set-near")
-    blocks = components(near)
-    members = blocks.join(classes.select("cls", "doc_id", "n"), blocks["id"] == F.col("cls")).select(F.col("label").alias("block"), "cls", "n", F.col("doc_id").alias("rep"))
-    members = staged(chunked(members, "block", ["n", "cls"]), "set-members")
-    wanted = members.groupBy("rep").agg(F.collect_set("cls").alias("wanted"))
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("text", "wanted")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row")).alias("least")
+    classes = staged(all_rows.where("n > 0").groupBy("cls").agg(least, F.count(F.lit(1)).alias("rows"), *[F.first(c).alias(c) for c in ("n", "prefix", "usual", "bits")]), "set-classes")
+    blocks = components(near_links(classes))
+    members = blocks.join(classes.select("cls", F.col("least.row").alias("row")), blocks["id"] == F.col("cls")).select(F.col("label").alias("block"), "cls", "row")
+    members = staged(dealt(members, "block"), "set-members")
+    wanted = members.groupBy("row").agg(F.collect_list(F.struct("cls", "block", "chunk", "chunks")).alias("wanted"))
+    # Of the texts only those that the filter lets through are shuffled; rows alike are one before they are.
+    marked = docs.select("text", row_key().alias("_row"))
+    likely = marked.where(maybe_in(marked, "_row", members.select("row"))).distinct()
+    texts = likely.join(wanted, F.col("_row") == F.col("row")).select("text", "wanted")
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sets = [], []
+            rows, sets = [], []
             for wanted, one in zip(batch.column("wanted").to_pylist(), sets_of(texts_of(batch.column("text")))):
-                if (key := class_of(one)) in wanted:
-                    keys.append(key)
-                    sets.append(one.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["cls", "found"])
-
-    sets = texts.mapInArrow(found, "cls long, found array<long>")
-    in_blocks = members.join(sets, "cls").select("block", "lo", "hi", "chunk", "cls", "found")
-    links = staged(together(in_blocks, ["block", "lo", "hi"], _searched, "a long, b long"), "set-links")
-    labels = components(links).withColumnRenamed("id", "cls")
-    least = classes.select("cls", "doc_id").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    roots = least.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return all_rows, staged(least.join(roots, "label").select("cls", "label", "component_id"), "set-components")
+                key = class_of(one)
+                for w in wanted:
+                    if w["cls"] == key:
+                        rows.append(w)
+                        sets.append(one.view(np.int64))
+            kinds = {"cls": pa.int64(), "block": pa.int64(), "chunk": pa.int32(), "chunks": pa.int32()}
+            yield pa.RecordBatch.from_arrays([*[pa.array([r[c] for r in rows], t) for c, t in kinds.items()], pa.array(sets, pa.list_(pa.int64()))], [*kinds, "found"])
+
+    sets = staged(texts.mapInArrow(found, "cls long, block long, chunk int, chunks int, found array<long>"), "set-found")
+
+    def met(of: DataFrame) -> DataFrame:
+        carried = of.select("block", "lo", "hi", "label", "cls", "found")
+        return staged(together(carried, ["block", "lo", "hi"], _searched, "a long, b long"), "set-links")
+
+    links = met(within(sets))
+    labels = components(links)
+    if not members.where("chunks > 1").isEmpty():
+        labels = components(links.unionByName(met(across(sets, labels, "block"))))
+    # Nodes that link get the first row of their component; the others have their own.
+    linked = staged(labels.join(classes.select("cls", "least"), labels["id"] == F.col("cls")).select("cls", "label", "least"), "set-linked")
+    tops = staged(linked.groupBy("label").agg(F.min("least").alias("top"), F.count(F.lit(1)).alias("rows")), "set-tops")
+    tops = spread_join(linked, tops, "label", "rows").select("cls", "top")
+    of_class = classes.select("cls", "least", "rows").join(tops, "cls", "left").select("cls", F.coalesce("top", "least").alias("top"), "rows")
+    return all_rows, staged(of_class, "set-components")
 
 
 def jaccard_classes(docs: DataFrame) -> DataFrame:
@@ -366,11 +434,11 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
 
     A-Z are folded, words are cut at ASCII white space; a text of fewer than five words is one shingle, one without words
     (or null) has none and links with nothing: its component is its own id. Repeated rows and ids are all
-    returned; a null id is never a component's smallest unless all are null.
+    returned; a null id is never a component's smallest unless all are null. No rows give no rows.
     """
     all_rows, of_class = classed(docs)
-    return all_rows.select("doc_id", "n", "cls").join(of_class, "cls", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+    return spread_join(all_rows.select("doc_id", "n", "cls"), of_class, "cls", "rows").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("top.doc_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
 
 
@@ -380,11 +448,23 @@ def op10_jaccard_join(spark, sf_dir: str) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row of `docs` for each component: that of the smallest doc_id (nulls last), then row key. Rows without words
-    each stay. It is rows that stay or go: others with the same id, or without one, are not touched."""
+    each stay, repeated or not. It is rows that stay or go: others with the same id, or without one, are not touched. Rows of the
+    same id and text are one document; of those the first by their other columns (as JSON) stays. No rows give no rows.
+
+    Only rows that may have to go (by a Bloom filter of bounded size over them) are shuffled; the others pass through."""
     all_rows, of_class = classed(docs)
-    found = staged(all_rows.where("n > 0").join(of_class, "cls").select("doc_id", "row", "label"), "set-result")
-    first = found.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row")).alias("least"))
-    extra = found.select("row").distinct().join(first.select(F.col("least.row").alias("row")), "row", "left_anti").withColumnRenamed("row", "_row")
-    kept = docs.withColumn("_row", row_key()).join(extra, "_row", "left_anti")
-    # Repeated rows of one id are one document.
-    return kept.dropDuplicates(["_row", "doc_id", "text"]).select(docs.columns)
+    placed = spread_join(all_rows.where("n > 0").select("row", "cls"), of_class, "cls", "rows").select("row", (F.col("row") == F.col("top.row")).alias("first"))
+    by_row = placed.groupBy("row").agg(F.max("first").alias("stays"), F.count(F.lit(1)).alias("times"))
+    doubtful = staged(by_row.where("NOT stays OR times > 1"), "set-doubtful")
+    row, go = fresh(docs, "row", "stays")
+    marked = docs.withColumn(row, F.when(F.coalesce("text", F.lit("")).rlike(WORD), row_key()))
+    maybe = F.coalesce(maybe_in(marked, row, doubtful.select("row")), F.lit(False))
+    clear = marked.where(~maybe).select(docs.columns)
+    known = doubtful.select(F.col("row").alias(row), F.col("stays").alias(go))
+    stay = marked.where(maybe).join(known, row, "left").where(F.coalesce(go, F.lit(True)))
+    others = [c for c in docs.columns if c.lower() not in ("doc_id", "text")]
+    if not others:
+        return clear.unionByName(stay.dropDuplicates([row, "doc_id", "text"]).select(docs.columns))
+    every = F.struct(*[F.col(f"`{c}`") for c in others])
+    one = stay.groupBy(row, "doc_id", "text").agg(F.min_by(every, F.to_json(every)).alias(go))
+    return clear.unionByName(one.select(*[F.col(c) if c.lower() in ("doc_id", "text") else F.col(go).getField(c).alias(c) for c in docs.columns]))
