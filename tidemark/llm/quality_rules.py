@@ -1,16 +1,17 @@
 r"""Quality rules whose cut-offs carry a guarantee (DataFrame functions only).
 
-Each rule rejects a document when a share measured on its whole text reaches a cut-off. Labelled documents choose
-the cut-off separately in each stratum (language): cut-offs are tried from the laxest to the strictest, and one is
-certified while an exact binomial test shows that at most RISK / rules of the stratum's good documents reach it.
-Testing stops at the first that fails (fixed-sequence testing needs no further correction along the sequence), and
-the level DELTA is divided by strata x rules (Bonferroni). So with probability 1 - DELTA, in every stratum at once,
-the rules together reject at most RISK of the good documents. Of the certified cut-offs the one that rejects most bad
-less good labelled documents is used, the laxest of equals; a stratum with too few labels certifies none, and only
-the base rule rejects there.
-
-At scale: one pass over the texts, everything within a row; the labelled part of the statistics is aggregated to a
-histogram with a row for each (stratum, rule, cut-off) before it is shuffled.
+Each rule rejects a document when a share measured on its whole text reaches a cut-off. In each stratum (language) the labelled
+documents are halved by crc32(doc_id as text) mod 2. The half with 0 lays a path: at its step for f every rule's cut-off is the one, of those that reject at
+most the share f of that half's good documents, at which the bad ones rejected are most, counting each good one as COST bad ones (none if no cut-off gains; the laxest of equals). So
+a later step rejects all that earlier ones do. The other half, the holdout, says how far to go: steps are tried from the laxest on, and one is
+certified while an exact binomial test shows that at most RISK of the stratum's good documents are rejected by it, all rules taken together.
+Testing stops at the first step that fails (fixed-sequence testing needs no further correction along the path), and the level DELTA is
+divided by the number of strata (Bonferroni). So with probability 1 - DELTA, in every stratum at once, the rules reject at most RISK
+of the good documents. Of the certified steps the one is used that gains most on the holdout, the laxest of equals. A stratum with too few
+labels (under 86 good ones held out for 5 % at four strata) certifies none, and only the base rule rejects there.
+
+At scale: one pass over the texts, everything within a row. The labelled documents' shares are aggregated to histograms of BINS bins a stratum and
+rule, and to a row a step, before they are shuffled.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ RISK, DELTA = 0.05, 0.05
 MIN_WORDS, MAX_REPEATED = 10, 20
 SYMBOLS = "[#*$%&|<>]"
 WORD_CHAR = r"[^\x20\x09-\x0D]"
-SHARES = (0.01, 0.02, 0.03, 0.05, 0.07, 0.10, 0.15, 0.20, 0.25, 0.30, 0.40, 0.50, 0.60, 0.70, 0.80, 0.90)
+#: The steps of the path: the share of good documents that each rule may reject.
+STEPS = (0.0, 0.0005, 0.001, 0.0025, 0.005, 0.01, 0.02, 0.03, 0.05)
+COST, BINS = 5, 1000
 
 
 def repeated_words(ws: Column) -> Column:
@@ -50,10 +53,11 @@ def repeated_words(ws: Column) -> Column:
     return F.when(F.size(ws) >= 5, let(hashes, covered)).otherwise(F.lit(0))
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
-    """`docs` with `_q`: the contract's counts, base_failed, and the shares that the rules test.
+def measured(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, stratum, q) for each row of `docs` (doc_id, text, lang): the row itself as a struct, whatever its columns are called, its
+    language ('' for null), and the contract's counts, base_failed and the shares that the rules test.
 
-    A null text counts as empty: no words, and so base_failed.
+    A null text counts as empty: no words, and so base_failed. No rows give no rows.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD_CHAR))
@@ -80,7 +84,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
             ).alias("shares"),
         )
 
-    return docs.withColumn("_q", let(counts, finish))
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", F.coalesce("lang", F.lit("")).alias("stratum"), let(counts, finish).alias("q"))
 
 
 RULES = ("symbols", "upper_case", "exclamations", "repeated_lines", "repeated_words")
@@ -107,59 +111,77 @@ def labelled(labels: DataFrame) -> DataFrame:
     return labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("good"))
 
 
-def learn_cutoffs(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA, shares=SHARES) -> DataFrame:
-    """(stratum, cutoffs): for each rule its certified cut-off, null where none is. `docs` may have `_q`
-    already; else only labelled texts are read through."""
-    known = docs.select("doc_id", "_q" if "_q" in docs.columns else "text", F.coalesce("lang", F.lit("")).alias("stratum"))
-    known = known.join(labelled(labels), "doc_id")
-    grid = F.array(*map(F.lit, shares))
-    known = known if "_q" in docs.columns else with_statistics(known)
-    # The outer form: for the inner one Spark infers a filter, which would compute the statistics twice.
-    tested = F.when(~F.col("_q.base_failed"), F.col("_q.shares"))
-    rows = known.select("stratum", "good", F.posexplode_outer(tested).alias("rule", "share")).where("rule IS NOT NULL")
-    reached = F.size(F.filter(grid, lambda c: F.col("share") >= c))
-    bars = rows.groupBy("stratum", "rule", reached.alias("reached")).agg(
-        F.sum(F.when(F.col("good") > 0, 1).otherwise(0)).alias("good"), F.sum(F.when(F.col("good") > 0, 0).otherwise(1)).alias("bad")
-    )
-    group = ("stratum", "rule")
-    sums = bars.groupBy(*group).agg(
-        F.sum("good").alias("n"),
-        *(F.sum(F.when(F.col("reached") >= i, F.col(c)).otherwise(0)).alias(f"{c}_{i}") for c in ("good", "bad") for i in range(1, len(shares) + 1)),
-    )
-    tests = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
-    # From the laxest: certified while the count stays within what the test allows.
-    tried = F.array(*(F.struct(F.lit(c).alias("cut"), F.col(f"good_{i}").alias("good"), F.col(f"bad_{i}").alias("bad")) for i, c in reversed([*enumerate(shares, 1)])))
+def halved(of: DataFrame, labels: DataFrame) -> DataFrame:
+    """(stratum, good, held_out, bins): the labelled documents that pass the base rule, each share as a bin of BINS."""
+    bins = F.transform("q.shares", lambda x: F.least(F.floor(x * BINS), F.lit(BINS)).cast("int"))
+    known = of.where("NOT q.base_failed").select("doc_id", "stratum", bins.alias("bins")).join(labelled(labels), "doc_id")
+    return known.select("stratum", (F.col("good") > 0).alias("good"), (F.crc32(F.col("doc_id").cast("string")) % 2 == 1).alias("held_out"), "bins")
+
+
+def path(fit: DataFrame, steps=STEPS, cost: float = COST) -> DataFrame:
+    """(stratum, cuts): for each step the cut-offs of all rules as bins (null: the rule rejects nothing), from halved() rows."""
+    bars = fit.select("stratum", "good", F.posexplode("bins").alias("rule", "bin")).groupBy("stratum", "rule", "bin").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
+    # At most BINS + 1 rows a window, however many documents there are.
+    every = Window.partitionBy("stratum", "rule")
+    down = every.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
+    tails = bars.select("stratum", "rule", "bin", F.sum("good").over(down).alias("good"), F.sum("bad").over(down).alias("bad"), F.sum("good").over(every).alias("n"))
+    gain = F.col("bad") - cost * F.col("good")
+    cut = lambda f: F.max(F.when((F.col("bin") > 0) & (F.col("good") <= f * F.col("n")) & (gain > 0), F.struct(gain.alias("gain"), "bin")))["bin"]
+    per_rule = tails.groupBy("stratum", "rule").agg(F.array(*map(cut, steps)).alias("cuts"))
+    at = lambda i: F.transform(F.col("rules"), lambda x: F.get(x["cuts"], F.lit(i)))
+    by_rule = per_rule.groupBy("stratum").agg(F.sort_array(F.collect_list(F.struct("rule", "cuts"))).alias("rules"))
+    return by_rule.select("stratum", F.array(*[at(i) for i in range(len(steps))]).alias("cuts"))
+
+
+def rejects(bins: Column, cuts: Column) -> Column:
+    """Whether one of the bins reaches its cut-off."""
+    return F.coalesce(F.exists(F.arrays_zip(bins.alias("b"), cuts.alias("c")), lambda z: F.coalesce(z["b"] >= z["c"], F.lit(False))), F.lit(False))
+
+
+def learn_cutoffs(of: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA, steps=STEPS, cost: float = COST) -> DataFrame:
+    """(stratum, cutoffs, certified): the cut-offs of all rules, as bins, that the labels (doc_id, quality) certify, null where none are, and how
+    many steps of the path are. `of` comes from measured()."""
+    known = staged(halved(of, labels), "quality-labelled")
+    # A path has as many numbers as there are steps and rules; strata are languages.
+    paths = staged(path(known.where("NOT held_out"), steps, cost), "quality-paths")
+    tried = known.where("held_out").join(small(paths), "stratum").select("stratum", "good", F.size(F.filter("cuts", lambda c: rejects(F.col("bins"), c))).alias("by"))
+    bars = tried.groupBy("stratum", "by").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
+    # Stricter steps reject all that laxer ones do, so a document that `by` steps reject falls from step m - by on.
+    m = len(steps)
+    sums = bars.groupBy("stratum").agg(F.sum("good").alias("n"), *(F.sum(F.when(F.col("by") >= m - i, F.col(c)).otherwise(0)).alias(f"{c}_{i}") for c in ("good", "bad") for i in range(m)))
+    tests = sums.agg(F.count(F.lit(1)).alias("strata"))
+    limits = sums.crossJoin(F.broadcast(tests)).withColumn("allowed", allowed(F.col("n"), risk, F.lit(delta) / F.col("strata")))
+    options = F.array(*(F.struct(F.lit(i).alias("step"), F.col(f"good_{i}").alias("good"), F.col(f"bad_{i}").alias("bad")) for i in range(m)))
+    sure = F.filter(options, lambda x: x["good"] <= F.col("allowed"))
     best = F.aggregate(
-        F.filter(F.col("tried"), lambda x: x["good"] <= F.col("allowed")),
-        F.struct(F.lit(None).cast("double").alias("cut"), F.lit(0).cast("long").alias("gain")),
-        lambda a, x: F.when(x["bad"] - x["good"] > a["gain"], F.struct(x["cut"].alias("cut"), (x["bad"] - x["good"]).alias("gain"))).otherwise(a),
-    )["cut"]
-    chosen = sums.withColumn("tried", tried).withColumn("tests", tests).withColumn("allowed", allowed(F.col("n"), risk / len(RULES), delta / F.col("tests")))
-    per_rule = chosen.select(*group, best.alias("cut"))
-    return per_rule.groupBy("stratum").agg(F.transform(F.sort_array(F.collect_list(F.struct("rule", "cut"))), lambda x: x["cut"]).alias("cutoffs"))
+        sure, F.struct(F.lit(None).cast("int").alias("step"), F.lit(0.0).alias("gain")),
+        lambda a, x: F.when(x["bad"] - cost * x["good"] > a["gain"], F.struct(x["step"].alias("step"), (x["bad"] - cost * x["good"]).alias("gain"))).otherwise(a),
+    )["step"]
+    chosen = limits.select("stratum", best.alias("step"), F.size(sure).alias("certified"))
+    return chosen.join(paths, "stratum").select("stratum", F.get("cuts", F.col("step")).alias("cutoffs"), "certified")
 
 
-def judged(docs: DataFrame, cutoffs: DataFrame) -> DataFrame:
-    """`docs` with `_q` and `_kept`. `cutoffs` (a staged table) is broadcast if its row count allows."""
-    stats = docs if "_q" in docs.columns else with_statistics(docs)
-    cuts = small(cutoffs).select(F.col("stratum").alias("_stratum"), F.col("cutoffs").alias("_cutoffs"))
-    joined = stats.join(cuts, F.coalesce(stats["lang"], F.lit("")) == cuts["_stratum"], "left")
-    over = F.exists(F.arrays_zip(F.col("_q.shares").alias("s"), F.col("_cutoffs").alias("c")), lambda z: z["s"] >= z["c"])
-    return joined.withColumn("_kept", ~F.col("_q.base_failed") & ~F.coalesce(over, F.lit(False)))
+def judged(of: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """`of`, from measured(), with `kept`. `cutoffs` (a staged table) is broadcast if its row count allows."""
+    joined = of.join(small(cutoffs.select("stratum", "cutoffs")), "stratum", "left")
+    bins = F.transform("q.shares", lambda x: F.least(F.floor(x * BINS), F.lit(BINS)).cast("int"))
+    return joined.withColumn("kept", ~F.col("q.base_failed") & ~rejects(bins, F.col("cutoffs"))).drop("cutoffs")
 
 
-def rules_for(spark, sf_dir: str, docs: DataFrame) -> DataFrame:
-    return staged(learn_cutoffs(docs, table(spark, sf_dir, "labels")), "quality-cutoffs")
+def decided(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """`docs` measured once, the cut-offs learnt from that, and each row's verdict."""
+    of = staged(measured(docs), "quality-measured")
+    return judged(of, staged(learn_cutoffs(of, labels), "quality-cutoffs"))
 
 
 def op4_quality_rules(spark, sf_dir: str) -> DataFrame:
-    docs = with_statistics(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("text")
-    docs = staged(docs, "quality-statistics")
+    of = measured(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("row")
+    of = staged(of, "quality-statistics")
+    cutoffs = staged(learn_cutoffs(of, table(spark, sf_dir, "labels")), "quality-cutoffs")
     fields = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-    return judged(docs, rules_for(spark, sf_dir, docs)).select("doc_id", *(f"_q.{f}" for f in fields), F.col("_kept").alias("kept"))
+    return judged(of, cutoffs).select("doc_id", *(f"q.{f}" for f in fields), "kept")
 
 
 def keep_good(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of `docs` that neither the base rule nor a certified cut-off rejects."""
-    packed = docs.select("doc_id", "text", "lang", F.struct(*docs.columns).alias("_row"))
-    return judged(packed, rules_for(spark, sf_dir, docs)).where("_kept").select("_row.*")
+    return decided(docs, table(spark, sf_dir, "labels")).where("kept").select("row.*")
