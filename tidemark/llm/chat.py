@@ -2,7 +2,8 @@
 
 A pair is a chosen and a rejected conversation. Their longest common prefix of turns (same role and text) is
 rendered once as the prompt; what follows on each side is a completion, with the character ranges that a loss
-should count: the assistant's turns, end marker included. Everything after the one shuffle by pair is done
+should count: the assistant's turns, end marker included. Text can't forge a turn: each "<|" in it gets one more bar, and so does "|>"
+in a role, which taking one bar out again undoes. A conversation is gathered by one shuffle, everything after that is done
 within a row, so a row has as much as its two conversations.
 """
 
@@ -38,35 +39,56 @@ def completion(turns: Column) -> Column:
     return let(rendered(turns), build)
 
 
-def format_pairs(turns: DataFrame) -> DataFrame:
-    """(pair_id, n_prompt_turns, prompt, chosen, rejected) from rows (pair_id, side, turn, role, text), where side
-    is 'chosen' or 'rejected'; chosen and rejected are struct(text, spans).
+def turn_of() -> Column:
+    """A row (turn, role, text) as a turn: null role and text are empty, markers in them are no markers."""
+    text, role = F.coalesce("text", F.lit("")), F.coalesce("role", F.lit(""))
+    plain = lambda c: F.replace(c, F.lit("<|"), F.lit("<||"))
+    return F.struct("turn", plain(F.replace(role, F.lit("|>"), F.lit("||>"))).alias("role"), plain(text).alias("text"))
 
-    Turns follow `turn`, then role and text (ties and repeated rows keep a fixed order). A null role or text counts
-    as empty. A side without turns gives an empty completion, as does a side that is all prompt; rows with a null
-    pair_id or another side belong to no pair and are left out.
-    """
-    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    side = lambda name: F.sort_array(F.collect_list(F.when(F.col("side") == name, turn))).alias(name[0])
-    pairs = turns.where("pair_id IS NOT NULL AND side IN ('chosen', 'rejected')").groupBy("pair_id").agg(side("chosen"), side("rejected"))
+
+def format_sides(pairs: DataFrame) -> DataFrame:
+    """(pair_id, n_prompt_turns, prompt, chosen, rejected) from rows (pair_id, c, r) with the turns of both sides."""
     same = lambda i: (F.get("c", i)["role"] == F.get("r", i)["role"]) & (F.get("c", i)["text"] == F.get("r", i)["text"])
     both = F.least(F.size("c"), F.size("r"))
     prefix = F.when(both > 0, F.aggregate(F.sequence(F.lit(0), both - 1), F.lit(0), lambda a, i: F.when((a == i) & same(i), a + 1).otherwise(a))).otherwise(F.lit(0))
     rest = lambda c: completion(F.slice(c, F.col("n") + 1, F.size(c)))
-    return pairs.withColumn("n", prefix).select(
+    return pairs.select("pair_id", "c", "r", prefix.alias("n")).select(
         "pair_id", F.col("n").cast("long").alias("n_prompt_turns"),
         F.array_join(rendered(F.slice("c", F.lit(1), F.col("n"))), "").alias("prompt"),
         rest(F.col("c")).alias("chosen"), rest(F.col("r")).alias("rejected"),
     )
 
 
+def format_pairs(turns: DataFrame) -> DataFrame:
+    """(pair_id, n_prompt_turns, prompt, chosen, rejected) from rows (pair_id, side, turn, role, text), where side
+    is 'chosen' or 'rejected'; chosen and rejected are struct(text, spans).
+
+    Turns follow `turn`, then role and text (ties and repeated rows keep a fixed order). A null role or text counts
+    as empty. A side without turns gives an empty completion, as does a side that is all prompt; rows with a null
+    pair_id or another side belong to no pair and are left out. No rows give no rows.
+    """
+    side = lambda name: F.sort_array(F.collect_list(F.when(F.col("side") == name, turn_of()))).alias(name[0])
+    return format_sides(turns.where("pair_id IS NOT NULL AND side IN ('chosen', 'rejected')").groupBy("pair_id").agg(side("chosen"), side("rejected")))
+
+
+def with_other_replies(turns: DataFrame) -> DataFrame:
+    """(pair_id, c, r) for each conversation (conv_id, turn, role, text): chosen as it is, and rejected with its last reply of the assistant
+    (and rows equal to that) exchanged for the last reply in the conversation whose id differs in the lowest bit; an empty one if that has none.
+    Rows with a null conv_id are left out."""
+    held = turns.where("conv_id IS NOT NULL").groupBy("conv_id").agg(F.sort_array(F.collect_list(turn_of())).alias("c"))
+    last = F.get(F.reverse(F.filter("c", lambda t: t["role"] == "assistant")), F.lit(0))
+    held = held.withColumn("last", last)
+    # Of the other conversation only its last reply is shuffled.
+    replies = turns.where("conv_id IS NOT NULL AND role = 'assistant'").groupBy("conv_id").agg(F.max(turn_of()).alias("reply"))
+    other = replies.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("reply.text").alias("other"))
+    swapped = F.transform("c", lambda t: F.when(t.eqNullSafe(F.col("last")), t.withField("text", F.coalesce("other", F.lit("")))).otherwise(t))
+    return held.join(other, "conv_id", "left").select(F.col("conv_id").alias("pair_id"), "c", swapped.alias("r"))
+
+
 def op5_preference_pairs(spark, sf_dir: str) -> DataFrame:
-    """Conversations 2k (chosen) and 2k + 1 (rejected) are pair k."""
-    turns = table(spark, sf_dir, "conversations").select(
-        F.expr("conv_id div 2").alias("pair_id"), F.when(F.col("conv_id") % 2 == 0, "chosen").otherwise("rejected").alias("side"), "turn", "role", "text"
-    )
+    """Each conversation against itself with another last reply: the turns before that are the prompt."""
     spans = lambda c: F.array_join(F.transform(F.col(f"{c}.spans"), lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
-    return format_pairs(turns).select(
+    return format_sides(with_other_replies(table(spark, sf_dir, "conversations"))).select(
         "pair_id", "n_prompt_turns", "prompt",
         F.col("chosen.text").alias("chosen"), spans("chosen").alias("chosen_spans"),
         F.col("rejected.text").alias("rejected"), spans("rejected").alias("rejected_spans"),
@@ -74,8 +96,12 @@ def op5_preference_pairs(spark, sf_dir: str) -> DataFrame:
 
 
 OP5_SQL = r"""
-WITH t AS (SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
-n AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn NULLS FIRST, role, text) - 1 AS i FROM t),
+WITH b AS (SELECT conv_id AS pair_id, turn, replace(replace(coalesce(role, ''), '|>', '||>'), '<|', '<||') AS role, replace(coalesce(text, ''), '<|', '<||') AS text FROM conversations WHERE conv_id IS NOT NULL),
+a AS (SELECT pair_id, turn AS last_turn, text AS last_text FROM b WHERE role = 'assistant' QUALIFY row_number() OVER (PARTITION BY pair_id ORDER BY turn DESC, text DESC) = 1),
+t AS (SELECT pair_id, 0 AS side, turn, role, text, text AS own FROM b
+      UNION ALL SELECT b.pair_id, 1, b.turn, b.role, CASE WHEN b.role = 'assistant' AND b.turn = a.last_turn AND b.text = a.last_text THEN coalesce(o.last_text, '') ELSE b.text END, b.text
+      FROM b LEFT JOIN a USING (pair_id) LEFT JOIN a o ON o.pair_id = xor(b.pair_id, 1)),
+n AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn NULLS FIRST, role, own) - 1 AS i FROM t),
 p AS (SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, coalesce(c.i, r.i) AS i, c.role = r.role AND c.text = r.text AS same
       FROM (FROM n WHERE side = 0) c FULL JOIN (FROM n WHERE side = 1) r ON c.pair_id = r.pair_id AND c.i = r.i),
 k AS (SELECT pair_id, coalesce(min(i) FILTER (WHERE same IS NOT TRUE), max(i) + 1) AS k FROM p GROUP BY pair_id),
