@@ -10,7 +10,8 @@ pairs within a key are needed.
 Half of a line is left alone by one edit, so lines whose halves nobody shares emit no variants.
 
 At scale: a line is a 64-bit hash of its words, and its variants come from prefix sums of word hashes, in time that grows with the
-line's length only. The texts are read twice, and only texts with a candidate line's first place are shuffled. All else
+line's length only. The texts are read twice, and only texts with a candidate line's first place are shuffled (and the few that a Bloom filter of bounded size
+lets through with them). What is broadcast is bounded in rows and bytes. All else
 shuffles keys with partial aggregation by minimum, so a line that a third of the documents hold meets in one small row a task.
 """
 
@@ -24,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._hashing import BASE, mix, pieces, texts_of, word_hashes
-from ._shared import let, small, staged, table
+from ._row_filter import maybe_in
+from ._shared import fresh, let, small, staged, table
 
 MIN_WORDS = 8
 #: The place of a null doc_id, before all others.
@@ -109,7 +111,9 @@ def lines_of(docs: DataFrame, min_words: int) -> DataFrame:
 def variants_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The words and variants of the lines `wanted` (key, doc, line), read from the texts at these places."""
     places = wanted.groupBy("doc").agg(F.collect_list(F.struct("line", "key")).alias("places"))
-    texts = docs.select(F.coalesce("doc_id", F.lit(FIRST)).alias("doc"), "text").join(places, "doc")
+    marked = docs.select(F.coalesce("doc_id", F.lit(FIRST)).alias("doc"), "text").withColumn("hashed", F.xxhash64("doc"))
+    # Of the texts only those that the filter lets through are shuffled.
+    texts = marked.where(maybe_in(marked, "hashed", wanted.select(F.xxhash64("doc").alias("hashed")))).drop("hashed").join(places, "doc")
     picked = lambda split: F.transform("places", lambda x: F.struct(x["line"].alias("line"), x["key"].alias("key"), F.get(split, x["line"]).alias("text")))
     # Python is sent the lines and not their texts, which bounds its batches.
     lines = texts.select("doc", F.explode_outer(let(F.split("text", "\n"), picked)).alias("x")).select("doc", "x.*").where("key IS NOT NULL")
@@ -165,7 +169,8 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     pairs = small(staged(pairs, "line-pairs"))
     said = F.split("words", " ")
     # The words of a pair are fetched by joins that leave the table of candidates in place while the pairs are few.
-    left = small(staged(known.select("key", said.alias("a")).join(pairs, "key"), "line-left"))
+    left = staged(known.select("key", said.alias("a"), F.octet_length("words").alias("bytes")).join(pairs, "key"), "line-left")
+    left = small(left, wide=F.col("bytes"))
     near = known.select(F.col("key").alias("other"), said.alias("b")).join(left, "other").where(one_edit(F.col("a"), F.col("b"))).select("key").distinct().withColumn("near", F.lit(True))
     told = staged(kinds.select("key", "first").join(near, "key", "left"), "line-fates")
     judged = lines.select("doc_id", "line", "key").join(told, "key").withColumn("equal", F.col("first") < place)
@@ -181,9 +186,11 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def without_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """`docs` with those lines taken out of `text`; rows and columns stay."""
-    gone = removed.select(F.col("doc_id").alias("_id"), F.col("removed").alias("_removed"))
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.coalesce(F.array_contains("_removed", i), F.lit(False)))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left").withColumn("text", F.array_join(kept, "\n")).select(docs.columns)
+    key, lines = fresh(docs, "id", "removed")
+    gone = removed.where(F.size("removed") > 0).select(F.col("doc_id").alias(key), F.col("removed").alias(lines))
+    joined = docs.join(gone, docs["doc_id"].eqNullSafe(gone[key]), "left")
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col(lines), i)), "\n")
+    return joined.withColumn("text", F.when(F.col(lines).isNull(), F.col("text")).otherwise(kept)).select(docs.columns)
 
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:
