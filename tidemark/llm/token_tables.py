@@ -290,7 +290,8 @@ def write_tables(docs: DataFrame, path: str, vocab: str | None = None, shards: i
     A null text is empty: only the end id. Rows with the same id are all kept, in the order of their text hashes.
     """
     spark = docs.sparkSession
-    n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
     vocab = vocab or vocabulary()
     ordered = (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -325,6 +326,8 @@ def write_tables(docs: DataFrame, path: str, vocab: str | None = None, shards: i
     return spark.read.schema(spark_schema).parquet(manifest)
 
 
+#: A shard has about this many bytes of text at most, whatever the session's number of partitions.
+SHARD_BYTES = 256 << 20
 MANIFEST_ARROW = pa.schema([("shard", pa.int32()), ("file", pa.string()), ("first_key", pa.binary()), ("last_key", pa.binary()), ("docs", pa.int64()), ("tokens", pa.int64()), ("bytes", pa.int64())])
 
 
