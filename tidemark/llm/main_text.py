@@ -42,6 +42,7 @@ BLOCK = frozenset(
     "address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer h1 h2 h3 h4 h5 h6 header hr "
     "html li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+NO_P, BOUNDS = BLOCK - {"p"}, frozenset(("article", "body", "td", "th"))
 RUN = "#run"
 #: Subtrees of these can be templates: an inline element is a part of its sentence.
 WHOLE = BLOCK - {"html", "body", "main", "article"} | {RUN}
@@ -55,7 +56,8 @@ MARKS = frozenset(
 #: An element of the first kind ends an open one of the second, up to the nearest of the third.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table", "tbody", "thead", "tfoot"}),
           "td": ({"td", "th"}, {"tr"}), "th": ({"td", "th"}, {"tr"}), "option": ({"option"}, {"select"})}
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: A quote counts after an equals sign only. What never closes is text, and is given up at the next "<", so no page takes time in its length's square.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^<>]*+>|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>=]++|=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s<>]*+))*+)>", re.S)
 NAMED = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 
 
@@ -69,10 +71,18 @@ class Node:
 def parse(page: str) -> Node:
     root = Node("html", False)
     open_, at = [root], 0
+    count = dict.fromkeys(("article", "main", "p"), 0)
 
     def close(names, within) -> None:
+        for name in names:
+            if count.get(name):
+                break
+        else:
+            return
         for i in range(len(open_) - 1, 0, -1):
             if open_[i].tag in names:
+                for node in open_[i:]:
+                    count[node.tag] -= 1
                 del open_[i:]
                 return
             if open_[i].tag in within:
@@ -89,14 +99,14 @@ def parse(page: str) -> Node:
             if tag == "br":
                 open_[-1].children.append(Node("br", False))
             else:
-                close({tag}, {"article", "body", "td", "th"} - {tag} if tag not in BLOCK or tag in ("p", "li") else set())
+                close((tag,), BOUNDS - {tag} if tag not in BLOCK or tag in ("p", "li") else ())
             continue
         if tag in BLOCK:
-            close({"p"}, BLOCK - {"p"})
+            close(("p",), NO_P)
         if tag in CLOSES:
             close(*CLOSES[tag])
         marks = {w for v in NAMED.findall(m[3]) for w in v.strip("\"'").lower().split()} if m[3] else ()
-        inside = any(n.tag in ("article", "main") for n in open_)
+        inside = count["article"] > 0 or count["main"] > 0
         node = Node(tag, tag in GONE or (tag == "header" and not inside), tag == "form" or (tag not in ("html", "body", "main") and not MARKS.isdisjoint(marks)))
         open_[-1].children.append(node)
         if tag in RAW:
@@ -104,6 +114,7 @@ def parse(page: str) -> Node:
             at = end.end() if end else len(page)
         elif tag not in VOID:
             open_.append(node)
+            count[tag] = count.get(tag, 0) + 1
     if at < len(page):
         open_[-1].children.append(page[at:])
     settle(root)
@@ -310,7 +321,7 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for each row of `pages` (page_id, url, html). A null html is empty; a url without
-    a host, or null, belongs to the host ''. Repeated rows are separate pages."""
+    a host, or null, belongs to the host ''. Repeated rows, and rows with a null page_id, are separate pages; no rows give no rows."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)", 1))
     read = pages.select("page_id", "url", "html", host.alias("host"))
     found = small(staged(templates(read.select("host", "html")), "site-templates"))
