@@ -20,7 +20,7 @@ from ._shared import WORD, n_words, small, staged, table
 WEIGHTS = (5, 2, 1)
 BLOCK = 64
 SHARD_DOCS = 128
-MAX_SHARDS = 4096
+MAX_SHARDS = 1 << 17
 MAX_REPEATS = 3
 SEED = 17
 
