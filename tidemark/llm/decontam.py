@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import ascii_lower, let, small, staged, table
+from ._shared import ascii_lower, fresh, let, small, staged, table
 
 SPAN = 10
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -147,9 +147,11 @@ def op9_decontaminate(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of `docs` in which no window of an item occurs."""
-    bad = staged(hits(docs, items).where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), "contaminated")
-    return docs.join(small(bad), docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash")), "left_anti")
+    """The rows of `docs` in which no window of an item occurs; all of them without items, none without rows. What is joined is 16 bytes
+    for each contaminated document, broadcast up to a million of these."""
+    key, hashed = fresh(docs, "id", "hash")
+    bad = staged(hits(docs.select("doc_id", "text"), items).where(F.size("spans") > 0).select(F.col("doc_id").alias(key), F.col("text_hash").alias(hashed)), "contaminated")
+    return docs.join(small(bad, 1_000_000), docs["doc_id"].eqNullSafe(bad[key]) & (F.xxhash64(docs["text"]) == bad[hashed]), "left_anti")
 
 
 OP9_SQL = r"""
