@@ -46,7 +46,7 @@ STAGES = [
     ("token tables", tokenise),
 ]
 
-#: Tokenising is not SQL. tests/llm checks the stages' operators one by one; no test runs the stages in a row.
+#: Tokenising is not SQL. tests/llm/test_pipeline.py holds the stages in a row against brute force.
 ORACLE_SQL = None
 
 

@@ -71,17 +71,95 @@ def test_apportionment(spark):
         assert {r.i: r.q for r in mixing.apportion(df, "v", F.lit(seats), "q", "i").collect()} == {i: want[i] for i in range(len(votes))}
 
 
+def brute_quality(text):
+    """The contract's counts and the five shares of a text."""
+    text = text or ""
+    w = WORD.findall(text)
+    c = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+    hit = {j for k in range(len(w) - 4) if c[tuple(w[k : k + 5])] > 1 for j in range(k, k + 5)}
+    chars, lines = sum(map(len, w)), [x for x in text.split("\n") if WORD.search(x)]
+    symbols, dup = sum(ch in "#*$%&|<>" for ch in text), len(lines) - len(set(lines))
+    import unicodedata
+
+    upper, bangs = sum(unicodedata.category(ch) == "Lu" for ch in text), sum(ch in "!?" for ch in text)
+    shares = [symbols / max(chars, 1), upper / max(chars, 1), bangs / max(chars, 1), dup / max(len(lines), 1), len(hit) / max(len(w), 1)]
+    return (len(w), chars, symbols, dup, len(hit), len(w) < 10 or 100 * len(hit) > 20 * len(w)), shares
+
+
+def brute_kept(docs, labels):
+    """{row number: kept} for docs (doc_id, text, lang) by the path and the exact test, with Python's integers and fractions."""
+    from fractions import Fraction
+    from math import comb
+
+    known, found = {}, [(d, lang or "", *brute_quality(t)) for d, t, lang in docs]
+    for d, quality in labels:
+        if d is not None and quality is not None:
+            known[d] = min(known.get(d, 1), quality)
+    bins = lambda x: [min(int(v * quality_rules.BINS), quality_rules.BINS) for v in x]
+    rows = defaultdict(list)
+    for d, s, counts, shares in found:
+        if d in known and not counts[5]:
+            rows[s, zlib.crc32(str(d).encode()) % 2, known[d] > 0].append(bins(shares))
+    strata = {s for s, half, _ in rows if half}
+    strata &= {s for s, half, _ in rows if not half}
+    over = lambda xs, cut: sum(any(c is not None and a >= c for a, c in zip(x, cut)) for x in xs)
+    chosen = {}
+    for s in strata:
+        good, bad = rows[s, 0, True], rows[s, 0, False]
+        steps = []
+        for f in quality_rules.STEPS:
+            cut = []
+            for r in range(5):
+                options = []
+                for b in {x[r] for x in good + bad} - {0}:
+                    g = sum(x[r] >= b for x in good)
+                    gain = sum(x[r] >= b for x in bad) - quality_rules.COST * g
+                    if g <= f * len(good) and gain > 0:
+                        options.append((gain, b))
+                cut.append(max(options)[1] if options else None)
+            steps.append(cut)
+        good, bad = rows[s, 1, True], rows[s, 1, False]
+        n, p, level, most = len(good), Fraction(1, 20), Fraction(1, 20) / len(strata), 0
+        for cut in steps:
+            k = over(good, cut)
+            if sum(comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1)) > level:
+                break
+            if (now := over(bad, cut) - quality_rules.COST * k) > most:
+                chosen[s], most = cut, now
+    return {i: not c[5] and not (s in chosen and over([bins(x)], chosen[s])) for i, (d, s, c, x) in enumerate(found)}
+
+
 def test_quality_rules(docs, spark):
-    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(100)] + [(None, 1, 0), (4, None, 0)], "doc_id bigint, quality int, toxic int")
-    rows = quality_rules.judged(docs, quality_rules.learn_cutoffs(docs, labels).cache()).collect()
-    assert len(rows) == docs.count()
-    for r in rows:
-        w = WORD.findall(r.text or "")
-        c = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
-        hit = {j for k in range(len(w) - 4) if c[tuple(w[k : k + 5])] > 1 for j in range(k, k + 5)}
-        assert (r._q.n_words, r._q.word_chars, r._q.n_repeat_words) == (len(w), sum(map(len, w)), len(hit))
-        assert r._q.base_failed == (len(w) < 10 or 100 * len(hit) > 20 * len(w)) and not (r._kept and r._q.base_failed)
-    assert quality_rules.judged(docs.limit(0), quality_rules.learn_cutoffs(docs, labels.limit(0)).cache()).count() == 0
+    labels = [(i, int(i % 3 > 0), 0) for i in range(100)] + [(None, 1, 0), (4, None, 0)]
+    frame = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    # A column of the rows may be called what the operator's own columns are.
+    clash = docs.withColumns({"q": F.lit(1), "_q": F.lit("x"), "stratum": F.lit(None).cast("string"), "row": F.lit(2), "kept": F.lit("?"), "cuts": F.lit(0)})
+    found = quality_rules.decided(clash, frame).collect()
+    want = brute_kept([(r.row.doc_id, r.row.text, r.row.lang) for r in found], [x[:2] for x in labels])
+    assert len(found) == docs.count() and found[0].row.asDict().keys() == set(clash.columns)
+    for i, r in enumerate(found):
+        counts, shares = brute_quality(r.row.text)
+        assert tuple(r.q)[:6] == counts and np.allclose(r.q.shares, shares) and r.kept == want[i]
+    assert quality_rules.decided(docs.limit(0), frame).count() == 0
+    assert quality_rules.decided(docs, frame.limit(0)).where("kept = q.base_failed").count() == 0
+
+
+def test_quality_rules_verdicts(spark):
+    """Labels that certify cut-offs in some strata and not in others, against brute force."""
+    r = random.Random(4)
+    rows, labels = [], []
+    for i in range(1500):
+        lang = r.choice(["en", "en", "de", "fr", None])
+        junk = r.random() < (0.02 if lang == "fr" else 0.15)
+        words = [f"w{r.randrange(5000)}" for _ in range(r.randint(12, 30))] + (["###", "$$$"] * r.randint(1, 4) if junk else ["#"] * (r.random() < 0.03)) + ["Upper"] * r.randint(0, 3)
+        rows.append((i, " ".join(words), lang))
+        if lang != "de" or r.random() < 0.2:
+            labels.append((i, int(not junk)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {x.doc_id: x.kept for x in quality_rules.decided(frame, spark.createDataFrame(labels, "doc_id bigint, quality int")).collect()}
+    want = brute_kept(rows, labels)
+    assert got == want
+    assert sum(not want[i] for i, _, lang in rows if lang == "en") > 20 and all(want[i] for i, t, lang in rows if lang == "de" and not brute_quality(t)[0][5])
 
 
 def test_binomial_bound(spark):
@@ -99,11 +177,11 @@ def test_binomial_bound(spark):
 
 def test_certified_cutoffs_reject(spark):
     clean, junk = "plain words that go on and on about many different things here " , "### b$$ &&& d%%% e*** f||| g<<< h>>> i### j$$$ k&&& "
-    rows = [(i, (clean if i % 4 else junk) + str(i), "en") for i in range(4000)]
+    rows = [(i, (clean if i % 10 else junk) + str(i), "en") for i in range(4000)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
-    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(4000)], "doc_id bigint, quality int")
-    kept = quality_rules.judged(docs, quality_rules.learn_cutoffs(docs, labels).cache())
-    assert kept.where("_kept <> (doc_id % 4 > 0)").count() == 0
+    labels = spark.createDataFrame([(i, int(i % 10 > 0)) for i in range(4000)], "doc_id bigint, quality int")
+    kept = quality_rules.decided(docs, labels)
+    assert kept.where("kept <> (doc_id % 10 > 0)").count() == 0
 
 
 def test_decontamination(docs, spark):
@@ -115,13 +193,15 @@ def test_decontamination(docs, spark):
     found = decontam.hits(docs.withColumn("words", F.lit(1)), items).withColumn("c", F.explode(F.expr("sequence(1L, copies)"))).withColumn("n_hit", decontam.covered(F.col("spans")))
     rows = found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
     same(rows, decontam.OP9_SQL.replace("item_id::VARCHAR", "item_id::BIGINT::VARCHAR"), documents=docs, benchmark=items)
-    assert decontam.keep_clean(docs, items).count() == rows.where("n_hit = 0").count() < docs.count()
+    clash = docs.withColumns({"_id": F.lit(1), "_hash": F.lit("x"), "item": F.lit(0), "span": F.lit(None).cast("int")})
+    kept = decontam.keep_clean(clash, items)
+    assert kept.columns == clash.columns and kept.count() == rows.where("n_hit = 0").count() < docs.count()
+    assert decontam.keep_clean(docs, items.limit(0)).count() == docs.count() and decontam.keep_clean(docs.limit(0), items).count() == 0
     assert decontam.hits(docs, items.limit(0)).where("size(spans) > 0").count() == 0
 
 
-def test_set_join(docs):
-    rows = set_join.jaccard_classes(docs.withColumn("cls", F.lit(1))).collect()
-    plain = [(r.doc_id, r.text) for r in docs.collect()]
+def brute_components(plain):
+    """(doc_id, set size, component) of each (doc_id, text), by comparing all pairs."""
     sets = []
     for _, t in plain:
         w = WORD.findall((t or "").translate({c: c + 32 for c in range(65, 91)}))
@@ -141,13 +221,52 @@ def test_set_join(docs):
     least = defaultdict(list)
     for i, (d, _) in enumerate(plain):
         least[find(i)].append(d)
-    want = Counter((d, len(sets[i]), min((x for x in least[find(i)] if x is not None), default=None)) for i, (d, _) in enumerate(plain))
-    assert Counter(map(tuple, rows)) == want
+    return [(d, len(sets[i]), min((x for x in least[find(i)] if x is not None), default=None)) for i, (d, _) in enumerate(plain)]
+
+
+def test_set_join(docs):
+    rows = set_join.jaccard_classes(docs.withColumn("cls", F.lit(1))).collect()
+    plain = [(r.doc_id, r.text) for r in docs.collect()]
+    assert Counter(map(tuple, rows)) == Counter(brute_components(plain))
     assert set_join.jaccard_classes(docs.limit(0)).count() == 0
     kept = set_join.keep_first(docs.where("doc_id <> 5 OR text NOT LIKE 'same%'"))
     assert kept.columns == docs.columns and kept.where("text = 'one'").count() == 1
 
 
+def test_set_join_in_chunks(spark, monkeypatch):
+    """Lists and blocks over many chunks: near copies of a few texts, sets too long for the bitmap, passages in all texts, and
+    chains of copies whose ends don't link."""
+    monkeypatch.setattr(set_join, "CHUNK", 4)
+    r = random.Random(8)
+    some = lambda k: [f"v{r.randrange(4000)}" for _ in range(k)]
+    shared = some(30)
+    out = []
+    for base in (some(60), some(45), some(1800), some(9)):
+        for _ in range(25):
+            w = list(base)
+            for _ in range(r.randint(0, max(1, len(w) // 45))):
+                w[r.randrange(len(w))] = f"z{r.randrange(10**6)}"
+            out.append(" ".join(w))
+    chain = some(120)
+    out += [" ".join(chain[3 * i : 3 * i + 80]) for i in range(12)] + [" ".join(shared + some(r.randint(5, 12))) for _ in range(40)] + [" ".join(shared)] * 3
+    r.shuffle(out)
+    frame = spark.createDataFrame(list(enumerate(out)), "doc_id bigint, text string").repartition(3)
+    want = brute_components(list(enumerate(out)))
+    assert Counter(map(tuple, set_join.jaccard_classes(frame).collect())) == Counter(want)
+    assert {r.doc_id for r in set_join.keep_first(frame).collect()} == {c for _, _, c in want}
+
+
+def test_keep_first_keeps_rows(spark):
+    """Repeated rows without words each stay; rows of one id and text are one; clashing names do no harm."""
+    t = " ".join(f"w{i}" for i in range(20))
+    rows = [(1, None, "a", "x"), (1, None, "a", "x"), (None, " ", "b", "x"), (None, " ", "b", "x"), (2, t, "b", "y"), (2, t, "a", "y"), (2, t, "a", "y"), (3, t, "a", "y"), (4, "alone", None, None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, _row string, cls string")
+    want = [(1, None, "a", "x")] * 2 + [(None, " ", "b", "x")] * 2 + [(2, t, "a", "y"), (4, "alone", None, None)]
+    kept = set_join.keep_first(frame.repartition(3))
+    assert kept.columns == frame.columns and Counter(map(tuple, kept.collect())) == Counter(want)
+    assert set_join.keep_first(frame.limit(0)).count() == 0
+
+
 def test_keep_first_by_row(spark):
     alone = lambda k: " ".join(f"k{k}w{i}" for i in range(30))
     near = lambda k: alone(k) + " more"
@@ -225,6 +344,42 @@ def test_main_text_templates_in_articles(spark):
     assert all(found[60 + i] == story(i) for i in range(10))
 
 
+def test_main_text_counts(spark):
+    """The host counts against brute force over the parsed trees, and pages of odd kinds."""
+    r = random.Random(2)
+    box = ["<div><p>Shared box</p></div>", "<ul><li>One</li><li>Two</li></ul>", "<p>Rare</p>"]
+    rows = []
+    for i in range(60):
+        own = "".join(f"<p>{' '.join(f'u{i}x{k}y{j}' for j in range(9))}</p>" for k in range(3))
+        kind = "<article>%s%s</article>" if i % 3 else "<body>%s%s</body>"
+        rows.append((i, f"http://h{i % 2}.x/{i}", kind % (own, "".join(b for k, b in enumerate(box) if r.random() < (0.9, 0.5, 0.05)[k]))))
+    rows += [(None, None, None), (None, None, None), (70, "http://h0.x/", ""), (71, "http://h9.x/", "<a " * 300_000), (72, "http://h9.x/", "<p>" + "word " * 200_000)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("host", F.coalesce(F.regexp_extract("url", "//([^/]*)", 1), F.lit("")))
+    seen, total = defaultdict(Counter), Counter()
+    for x in pages.collect():
+        root = main_text.parse(x.html or "")
+        seen[x.host].update(main_text.repeatable([root], main_text.digests(root)))
+        total[x.host] += 1
+    want = {(h, t) for h, c in seen.items() for t, n in c.items() if n >= 8 and n >= 0.3 * total[h]}
+    assert {(x.host, t) for x in main_text.recurring(pages.select("host", "html")).collect() for t in x.templates} == want and len(want) >= 4
+    found = main_text.extract(pages).collect()
+    texts_of = {x.page_id: x.text for x in found}
+    assert len(found) == len(rows) and [x.text for x in found if x.page_id is None] == ["", ""] and texts_of[70] == "" and len(texts_of[72]) == 999_999
+    assert all("Shared box" not in texts_of[i] and f"u{i}x2y8" in texts_of[i] for i in range(60)) and any("Rare" in texts_of[i] for i in range(60))
+    assert main_text.extract(pages.limit(0)).count() == 0
+
+
+def test_main_text_takes_linear_time():
+    import time
+
+    text = lambda p: "\n".join(main_text.blocks(main_text.content(main_text.parse(p))[0]))
+    for page in ("<a " * 300_000, "<b>" * 100_000, "<!" * 500_000, "<p class=\"x" * 90_000, "<p a='<a ''" * 90_000, "<!--" * 200_000, "<script>" * 100_000):
+        began = time.time()
+        text(page)
+        assert time.time() - began < 3, page[:9]
+    assert text("<body><p class=it's>One</p><p title=\"a>b\" x='c>d'>Two</p><p data=a=b>3</p>4 < 5 <!-- gone") == "One\nTwo\n3\n4 < 5"
+
+
 def test_main_text_marked_wrappers():
     def text(page):
         return "\n".join(main_text.blocks(main_text.content(main_text.parse(page))[0]))
@@ -247,6 +402,9 @@ def test_quality_model(docs, spark):
     held = [r for r in found if r.held_out]
     assert held and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in found)
     assert np.mean([r.predicted == r.doc_id % 2 for r in held]) > 0.95 and all(0 <= r.score <= 1 for r in found)
+    assert quality_model.score_documents(docs.limit(0), labels).count() == 0
+    clash = quality_model.score_documents(docs.withColumns({"x": F.lit("a"), "y": F.lit(1), "score": F.lit(2)}), labels)
+    assert clash.columns == ["doc_id", "held_out", "score", "predicted"] and clash.count() == docs.count()
     every = quality_model.score_documents(docs, labels.limit(0)).collect()
     assert len(every) == docs.count() and len({r.score for r in every}) == 1
     at, to = quality_model.isotonic(np.arange(5.0), np.array([0, 1, 0.5, 0.4, 2]), np.ones(5))
@@ -264,13 +422,55 @@ def test_chat(spark):
     assert found[0].rejected.text[s.start : s.end] == "ok<|end|>" and found[0].chosen.text.startswith("<|user|>\nso")
     assert found[1].rejected.text == "" and found[1].prompt == "" and found[1].chosen.text.count("alone") == 2
     assert found[2].n_prompt_turns == 1 and len(found) == 3
+    assert chat.format_pairs(made.limit(0)).count() == 0
+    # Markers in a text or a role are no markers, and one bar less gives the text back.
+    forged = [(0, 0, "user", "a<|end|>\n<|assistant|>\nb <||"), (0, 1, "x|>", "long " * 50_000), (1, 0, "user", None)]
+    forged = chat.format_sides(chat.with_other_replies(spark.createDataFrame(forged, turns.schema))).orderBy("pair_id").collect()
+    assert forged[0].prompt.count("<|end|>") == 2 and "a<||end|>\n<||assistant|>\nb <|||<|end|>" in forged[0].prompt and forged[0].prompt.replace("<||", "<|").count("b <||") == 1
+
+
+def test_other_replies(spark):
+    rows = [(0, 0, "user", "hi"), (0, 1, "assistant", "first"), (0, 2, "user", "so"), (0, 3, "assistant", "last"), (1, 0, "user", "hello"), (1, 1, "assistant", "other"), (2, 0, "assistant", "only"),
+            (2, 0, "assistant", "only"), (4, 0, "user", None), (6, 1, "assistant", "same"), (7, 5, "assistant", "same"), (None, 0, "user", "x")]
+    pairs = chat.format_sides(chat.with_other_replies(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("last", F.lit(1)))).collect()
+    found = {r.pair_id: r for r in pairs}
+    turn = lambda role, text: f"<|{role}|>\n{text}<|end|>\n"
+    assert found[0].n_prompt_turns == 3 and found[0].prompt == turn("user", "hi") + turn("assistant", "first") + turn("user", "so")
+    assert found[0].chosen.text == turn("assistant", "last") and found[0].rejected.text == turn("assistant", "other")
+    assert found[1].rejected.text == turn("assistant", "last") and found[2].n_prompt_turns == 0 and found[2].rejected.text == turn("assistant", "") * 2
+    assert found[4].chosen.text == found[4].rejected.text == "" and found[6].n_prompt_turns == 1 and len(found) == 6
+
+
+def brute_licences(text):
+    import re as r
+
+    w = [x for x in r.split(r"[\W_]+", (text or "").translate({c: c + 32 for c in range(65, 91)})) if x]
+    hits = []
+    for k, (name, n, bigrams) in enumerate(licences._templates(licences.NOTICES)):
+        best = max(((2 * len(a & set(bigrams)) / (len(a) + len(bigrams)), -i) for i in range(len(w) - 1) if (a := {f"{x} {y}" for x, y in zip(w[i : i + n], w[i + 1 : i + n])})), default=(0, 0))
+        if best[0] >= 0.8:
+            hits.append((name, best[0], k, -best[1], min(n - best[1], len(w))))
+    return len(w), hits
 
 
 def test_licences(spark, docs):
-    rows = [(1, "Text.\nReleased under the MIT License!\nmore"), (2, "licensed under the APACHE license, version 2.0"), (3, None), (4, ""), (5, "MIT"), (6, "a b c d e f g h i j k l")]
-    found = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
-    assert [(h.line, h.licence, h.dice) for h in found[1].hits] == [(1, "MIT", 1.0)] and found[2].hits[0].licence == "Apache-2.0"
-    assert found[3].n_lines == 0 and not any(found[i].hits for i in (3, 4, 5, 6))
+    import textwrap
+
+    mit = "\n\n".join(licences.NOTICES["MIT"][2:])
+    gpl = licences.NOTICES["GPL-3.0"][1]
+    rows = ["Text.\nReleased under the MIT License!\nmore", "x licensed under the APACHE license, version 2.0 y", None, "", "MIT", "a b c d e f g h i j k l", "Copyright 2020 Someone\n\n" + textwrap.fill(mit, 60),
+            "before it " + mit.replace("\n\n", " ") + " and after", "\n".join(f" * {x}" for x in textwrap.wrap(gpl, 50)), gpl.replace("redistribute", "hand").replace("any later", "a later"),
+            "Copyright 2020 Someone. Released under the MIT License. All rights reserved.", "the terms of the licence are under the law " * 40, "Licensed under " * 3000, "word " * 60_000 + mit,
+            "Permission is hereby granted to go home", licences.BSD + " " + licences.NOTICES["BSD-3-Clause"][2]]
+    frame = spark.createDataFrame([(i, t, 1) for i, t in enumerate(rows)] + [(0, rows[0], 2)], "doc_id bigint, text string, _t int")
+    found = [(r.doc_id, r.n_words, [tuple(h) for h in r.hits]) for r in licences.scan(frame).collect()]
+    small = {i: brute_licences(t) for i, t in enumerate(rows) if i not in (12, 13)}
+    assert len(found) == len(rows) + 1 and all((n, hits) == small[i] for i, n, hits in found if i in small)
+    named = {i: {h[0] for h in hits} for i, _, hits in found}
+    assert named[0] == named[6] == named[7] == named[10] == named[13] == {"MIT"} and "GPL-3.0" in named[8] & named[9] and named[1] == {"Apache-2.0"}
+    assert not any(named[i] for i in (2, 3, 4, 5, 11, 12, 14)) and named[15] == {"BSD-2-Clause", "BSD-3-Clause"}
+    assert all((r.n_words, [tuple(h) for h in r.hits]) == brute_licences(t) for r, t in zip(licences.scan(docs.where("length(text) < 5000")).collect(), [r.text for r in docs.where("length(text) < 5000").collect()]))
+    assert licences.scan(docs.limit(0)).count() == 0
 
 
 def test_line_dedup(spark):
@@ -311,5 +511,7 @@ def test_line_dedup(spark):
     told = line_dedup.removed_lines(spark.createDataFrame(same, "doc_id bigint, text string")).collect()
     assert {(x.doc_id, x.n_lines, x.n_near) for x in told} == {(7, 2, 1), (None, 1, 0)}
     assert line_dedup.removed_lines(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
-    out = line_dedup.without_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), found)
-    assert out.count() == len(rows) and out.where("doc_id = 90 AND text IS NULL").count() <= 1
+    clash = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"_id": F.lit(1), "removed": F.lit("r"), "_removed": F.lit(0), "line": F.lit(2)})
+    out = line_dedup.without_lines(clash, line_dedup.removed_lines(clash))
+    assert out.columns == clash.columns
+    assert {r.doc_id: r.text for r in out.collect()} == {d: t if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in want[d]) for d, t in rows}
