@@ -344,6 +344,20 @@ def test_main_text_templates_in_articles(spark):
     assert all(found[60 + i] == story(i) for i in range(10))
 
 
+def test_main_text_keeps_shared_lines(spark):
+    """A line, heading or list item that 2 in 5 of a host's articles quote stays; a box of its own goes."""
+    story = lambda i: " ".join(f"w{i}x{k}" for k in range(12))
+    quoted = "<h1>Said by many</h1><p>Said by many, they say.</p>loose <b>words</b><ul><li>a point</li><li>point %d</li></ul>"
+    page = lambda i: f"<article>{quoted % i if i % 5 < 2 else ''}<p>{story(i)}</p>{'<div><p>By our staff</p></div>' if i % 5 < 2 else ''}</article>"
+    # The same line in pages without an article or main is a template there.
+    rows = [(i, "http://a.x/", page(i)) for i in range(40)] + [(100 + i, "http://b.x/", f"<body>{'<p>Said by many</p>' if i % 5 < 2 else ''}<p>{story(i)}</p></body>") for i in range(40)]
+    rows += [(200 + i, "http://c.x/", f"<main>{'<p>Said by most</p>' if i % 5 < 3 else ''}<p>{story(i)}</p></main>") for i in range(40)]
+    found = {r.page_id: r.text for r in main_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for i in range(40):
+        lines = ["Said by many", "Said by many, they say.", "loose words", "a point", f"point {i}"] if i % 5 < 2 else []
+        assert found[i] == "\n".join([*lines, story(i)]) and found[100 + i] == found[200 + i] == story(i)
+
+
 def test_main_text_counts(spark):
     """The host counts against brute force over the parsed trees, and pages of odd kinds."""
     r = random.Random(2)

@@ -6,7 +6,9 @@ is about. What is left of the articles (else the main elements, else the body) i
 too, are hashed and counted by host in Spark. One recurs if it is on at least MIN_PAGES pages and MIN_SHARE of the
 host's; it is a template, and goes, if the pages' texts differ without all that recurs: min-hashes of these rests have
 MIN_PAGES values or more, and no value is on over MOST_ALIKE of the pages. Pages with a rest under MIN_REST of their
-words are copies and don't count, so what copies of an article have in common stays.
+words are copies and don't count, so what copies of an article have in common stays. Sites put what they repeat in elements
+of its own; a running line of an article or main (LINES) is its text unless over LINE_SHARE of the host's pages have the subtree,
+so a sentence or heading that many articles quote stays.
 
 At scale: pages are parsed three times, the second time only on hosts where something recurs. Counting shuffles 16
 bytes for each (page, subtree), and a row for each (page, recurring subtree, min-hash), both after partial
@@ -30,6 +32,7 @@ from ._shared import small, staged, table
 
 MIN_PAGES, MIN_SHARE = 8, 0.3
 MIN_REST, MOST_ALIKE = 0.2, 0.5
+LINE_SHARE = 0.5
 #: Odd factors of the min-hashes.
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,6 +49,8 @@ NO_P, BOUNDS = BLOCK - {"p"}, frozenset(("article", "body", "td", "th"))
 RUN = "#run"
 #: Subtrees of these can be templates: an inline element is a part of its sentence.
 WHOLE = BLOCK - {"html", "body", "main", "article"} | {RUN}
+#: What running text is made of.
+LINES = frozenset("blockquote dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th".split()) | {RUN}
 #: Whole names in a class, id or role that mark what is no article text.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
@@ -62,10 +67,14 @@ NAMED = re.compile(r"(?<![\w-])(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>
 
 
 class Node:
-    __slots__ = ("tag", "gone", "marked", "children")
+    __slots__ = ("tag", "gone", "marked", "inside", "children")
 
-    def __init__(self, tag: str, gone: bool, marked: bool = False):
-        self.tag, self.gone, self.marked, self.children = tag, gone, marked, []
+    def __init__(self, tag: str, gone: bool, marked: bool = False, inside: bool = False):
+        self.tag, self.gone, self.marked, self.inside, self.children = tag, gone, marked, inside, []
+
+    def can_go(self, subtree: int, common: frozenset[int]) -> bool:
+        """Whether the element may be a template: no running line of an article or main, unless among the `common` ones."""
+        return not (self.inside and self.tag in LINES) or subtree in common
 
 
 def parse(page: str) -> Node:
@@ -107,7 +116,7 @@ def parse(page: str) -> Node:
             close(*CLOSES[tag])
         marks = {w for v in NAMED.findall(m[3]) for w in v.strip("\"'").lower().split()} if m[3] else ()
         inside = count["article"] > 0 or count["main"] > 0
-        node = Node(tag, tag in GONE or (tag == "header" and not inside), tag == "form" or (tag not in ("html", "body", "main") and not MARKS.isdisjoint(marks)))
+        node = Node(tag, tag in GONE or (tag == "header" and not inside), tag == "form" or (tag not in ("html", "body", "main") and not MARKS.isdisjoint(marks)), inside)
         open_[-1].children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -163,7 +172,7 @@ def grouped(root: Node) -> None:
                     out.append(c)
                 else:
                     if not out or out[-1].tag != RUN:
-                        out.append(Node(RUN, False))
+                        out.append(Node(RUN, False, inside=node.inside or node.tag in ("article", "main")))
                     out[-1].children.append(c)
             node.children = out
 
@@ -199,8 +208,8 @@ def digests(root: Node) -> dict[int, int]:
     return out
 
 
-def blocks(nodes: list[Node], without: frozenset[int] = frozenset(), hashes: dict[int, int] | None = None) -> list[str]:
-    """The text of each block in page order, references decoded and white space folded; empty ones left out."""
+def blocks(nodes: list[Node], without: frozenset[int] = frozenset(), hashes: dict[int, int] | None = None, common: frozenset[int] = frozenset()) -> list[str]:
+    """The text of each block in page order, references decoded and white space folded; empty ones, and subtrees `without` that can go, left out."""
     out, now = [], []
 
     def end() -> None:
@@ -215,7 +224,7 @@ def blocks(nodes: list[Node], without: frozenset[int] = frozenset(), hashes: dic
             end()
         elif isinstance(c, str):
             now.append(c)
-        elif c.gone or (hashes and hashes[id(c)] in without):
+        elif c.gone or (hashes and hashes[id(c)] in without and c.can_go(hashes[id(c)], common)):
             if c.tag in BLOCK:
                 end()
         elif c.tag == "br":
@@ -274,9 +283,10 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for host, page, again in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "templates"))):
             top, _ = content(root := parse(page or ""))
             own = digests(root)
-            if not (mine := repeatable(top, own).intersection(again)):
+            if not (mine := frozenset(repeatable(top, own).intersection(again))):
                 continue
-            rest = " ".join(blocks(top, frozenset(mine), own)).split()
+            # Running lines that recur are no part of the rest either, whether or not they can go.
+            rest = " ".join(blocks(top, mine, own, mine)).split()
             if rest and len(rest) >= MIN_REST * len(" ".join(blocks(top)).split()):
                 for i, value in enumerate(context(rest).tolist()):
                     hosts += [host] * len(mine)
@@ -291,9 +301,9 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for page, gone in zip(batch.column("html").to_pylist(), batch.column("templates").to_pylist()):
+        for page, gone, common in zip(*(batch.column(c).to_pylist() for c in ("html", "templates", "common"))):
             top, article = content(root := parse(page or ""))
-            text = "\n".join(blocks(top, frozenset(gone), digests(root)) if gone else blocks(top))
+            text = "\n".join(blocks(top, frozenset(gone), digests(root), frozenset(common)) if gone else blocks(top))
             # An article that other pages repeat is still the text of its own page.
             texts.append("\n".join(blocks(top)) if article and not text else text)
         yield pa.RecordBatch.from_arrays(
@@ -302,21 +312,24 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def recurring(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, templates): the subtree hashes that are on at least min_pages pages and min_share of the host's."""
+    """(host, templates, common): the subtree hashes that are on at least min_pages pages and min_share of the host's, and
+    those of them that are on over LINE_SHARE of the host's."""
     seen = pages.mapInArrow(_subtrees, "host string, subtree long").groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
     totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     many = seen.where(F.col("n") >= min_pages).join(totals, "host").where(F.col("n") >= min_share * F.col("pages"))
-    return many.groupBy("host").agg(F.collect_list("subtree").alias("templates"))
+    common = F.when(F.col("n") > LINE_SHARE * F.col("pages"), F.col("subtree"))
+    return many.groupBy("host").agg(F.collect_list("subtree").alias("templates"), F.collect_list(common).alias("common"))
 
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, templates): the subtree hashes that recur on pages whose texts differ without what recurs."""
+    """(host, templates, common): the subtree hashes that recur on pages whose texts differ without what recurs; and as `recurring`."""
     again = small(staged(recurring(pages, min_pages, min_share), "site-repeats"))
     told = pages.join(again, "host").select("host", "html", "templates").mapInArrow(_contexts, "host string, subtree long, i int, context long")
     groups = told.groupBy("host", "subtree", "i", "context").agg(F.count(F.lit(1)).alias("n"))
     spread = groups.groupBy("host", "subtree", "i").agg(F.count(F.lit(1)).alias("n_values"), F.max("n").alias("most"), F.sum("n").alias("n"))
     sure = spread.groupBy("host", "subtree").agg(F.min("n_values").alias("n_values"), F.max(F.col("most") / F.col("n")).alias("alike"))
-    return sure.where((F.col("n_values") >= min_pages) & (F.col("alike") <= MOST_ALIKE)).groupBy("host").agg(F.collect_list("subtree").alias("templates"))
+    sure = sure.where((F.col("n_values") >= min_pages) & (F.col("alike") <= MOST_ALIKE))
+    return sure.groupBy("host").agg(F.collect_list("subtree").alias("templates")).join(again.select("host", "common"), "host")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -325,7 +338,8 @@ def extract(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]*)", 1))
     read = pages.select("page_id", "url", "html", host.alias("host"))
     found = small(staged(templates(read.select("host", "html")), "site-templates"))
-    joined = read.join(found, "host", "left").select("page_id", "url", "html", F.coalesce("templates", F.array().cast("array<bigint>")).alias("templates"))
+    none = F.array().cast("array<bigint>")
+    joined = read.join(found, "host", "left").select("page_id", "url", "html", *(F.coalesce(c, none).alias(c) for c in ("templates", "common")))
     return joined.mapInArrow(_texts, "page_id long, url string, text string, n_chars long")
 
 
