@@ -6,7 +6,8 @@ ones. That is the split of DivideSkip: the T - 1 most frequent lists can be left
 
 1. Frequencies: a fixed-size table of counters over all shingles (SLOTS of them, whatever the input) orders shingles,
    the frequent ones last. Any one order gives right results; this one keeps common lines and passages out of the merge.
-2. Short lists: each class is posted under its rarest shingles. Within a list, pairs whose sizes, places in the order and
+2. Short lists: each class is posted under its rarest shingles. Lists of the same members (near copies share dozens) become
+   one that counts as many, before anything is fetched for them. Within a list, pairs whose sizes, places in the order and
    bitmaps (SHAPE bits set by shingle; an exact lower bound on the symmetric difference) allow a link are joined; only a
    spanning star of each list's joined members leaves the task.
 3. Connected pairs make blocks. The sets of a block's members are read from the texts, and within the block each set is
@@ -216,10 +217,11 @@ def first_of(*columns: np.ndarray) -> np.ndarray:
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs in each list that sizes, places and bitmaps allow, as stars that count SHARED, and pairs of long sets as one
-    each. Rows: token, lo, hi, chunk, label, cls, n, rest (the shingles from this one on), bits."""
+    for each of the lists that it stands for. Rows: token, lo, hi, chunk, label, cls, n, rest (the shingles from this one on, in
+    the list where they are most), times (the lists it stands for), bits."""
     for t in grouped(batches, ["token", "lo", "hi"], 8192):
         rows = t.num_rows
-        token, lo, hi, chunk, label, cls, n, rest = (t.column(c).to_numpy() for c in ("token", "lo", "hi", "chunk", "label", "cls", "n", "rest"))
+        token, lo, hi, chunk, label, cls, n, rest, times = (t.column(c).to_numpy() for c in ("token", "lo", "hi", "chunk", "label", "cls", "n", "rest", "times"))
         bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(rows, -1)
         first = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
         group = np.repeat(np.arange(len(first)), np.diff(np.r_[first, rows]))
@@ -247,7 +249,7 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both = counted[a] & (n[b] > LONG)
             if both.any():
                 x, y = cls[a[both]], cls[b[both]]
-                yield pa.RecordBatch.from_pydict({"a": np.maximum(x, y), "b": np.minimum(x, y), "n": np.ones(len(x), np.int64)})
+                yield pa.RecordBatch.from_pydict({"a": np.maximum(x, y), "b": np.minimum(x, y), "n": np.minimum(times[a[both]], times[b[both]])})
             found.add(a[~both], b[~both])
         if len(far := found.fold()):
             yield pa.RecordBatch.from_pydict({"a": cls[far], "b": cls[found.label[far]], "n": np.full(len(far), SHARED, np.int64)})
@@ -364,13 +366,16 @@ def near_links(classes: DataFrame) -> DataFrame:
 
     # Lists of unusually frequent shingles are counted and dealt into chunks. Of the others each is some millionths of all
     # shingles at most, and is counted in the task that it falls in.
-    usual = posted(F.slice("prefix", 1, F.col("usual")), F.lit(0)).withColumn("_size", F.expr("count(1) OVER (PARTITION BY token)")).where("_size > 1")
+    usual = posted(F.slice("prefix", 1, F.col("usual")), F.lit(0))
+    usual = usual.withColumns({"_size": F.expr("count(1) OVER (PARTITION BY token)"), "_all": F.expr("bit_xor(xxhash64(cls)) OVER (PARTITION BY token)")}).where("_size > 1")
+    # A list of the same members as others goes by their hash. Were two sets of members to have one, the list would join more, which a filter may.
+    usual = usual.groupBy(F.xxhash64("_all", "_size").alias("token"), "cls").agg(F.max("rest").alias("rest"), F.count(F.lit(1)).alias("times"), F.max("_size").alias("_size"))
     usual = usual.withColumn("chunks", F.expr(f"cast((_size + {CHUNK - 1}) div {CHUNK} AS int)")).drop("_size").withColumn("chunk", F.pmod(F.xxhash64("cls", "token"), "chunks").cast("int"))
-    others = posted(F.slice("prefix", F.col("usual") + 1, F.size("prefix")), F.col("usual"))
+    others = posted(F.slice("prefix", F.col("usual") + 1, F.size("prefix")), F.col("usual")).withColumn("times", F.lit(1).cast("long"))
     lists = staged(usual.unionByName(dealt(others, "token")), "set-lists")
 
     def met(members: DataFrame) -> DataFrame:
-        carried = members.join(classes.select("cls", "n", "bits"), "cls").select("token", "lo", "hi", "chunk", "label", "cls", "n", "rest", "bits")
+        carried = members.join(classes.select("cls", "n", "bits"), "cls").select("token", "lo", "hi", "chunk", "label", "cls", "n", "rest", "times", "bits")
         found = together(carried, ["token", "lo", "hi"], _joined, "a long, b long, n long")
         return staged(found.groupBy("a", "b").agg(F.sum("n").alias("n")), "set-near")
 
