@@ -233,6 +233,32 @@ def test_set_join(docs):
     assert kept.columns == docs.columns and kept.where("text = 'one'").count() == 1
 
 
+def test_set_join_bitmaps():
+    """Bits that differ never exceed the symmetric difference, over sizes and folds, and unrelated sets of any length are told apart."""
+    r = np.random.default_rng(1)
+    for n, m in ((40, 45), (1500, 1500), (2000, 2100), (9000, 8500), (30000, 31000)):
+        sets = [np.unique(r.integers(0, 2**63, k, dtype=np.uint64)) for k in (n, m)]
+        sets.append(np.unique(np.r_[sets[0][n // 20 :], sets[1][: n // 50]]))
+        one, other = np.array([0, 0, 1]), np.array([1, 2, 2])
+        found = set_join.Shapes([set_join.shape_of(x) for x in sets]).apart(one, other)
+        assert all(f <= len(np.setxor1d(sets[i], sets[j])) for i, j, f in zip(one, other, found))
+        allows = [180 * f <= 20 * (len(sets[i]) + len(sets[j])) for i, j, f in zip(one, other, found)]
+        assert allows == [False, True, False]
+
+
+def test_set_join_long_texts_that_share_a_passage(spark):
+    """Long texts with a passage in common, but far from alike, are not joined: their pairs grow with the square of their number."""
+    r = random.Random(3)
+    passage = [" ".join(f"p{i}x{k}" for k in range(60)) for i in range(6)]
+    rows = [(i, passage[i % 6] + " " + " ".join(f"w{r.randrange(900)}" for _ in range(2000))) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4).cache()
+    classes = set_join.summaries(docs, set_join.frequency_levels(docs)).select("cls", "n", "prefix", "usual", "bits").cache()
+    tokens = [set(x.prefix) for x in classes.collect()]
+    assert sum(len(x & y) > 0 for i, x in enumerate(tokens) for y in tokens[:i]) >= 36
+    assert set_join.near_links(classes).count() == 0
+    assert all(x.component_id == x.doc_id for x in set_join.jaccard_classes(docs).collect())
+
+
 def test_set_join_in_chunks(spark, monkeypatch):
     """Lists and blocks over many chunks: near copies of a few texts, sets too long for the bitmap, passages in all texts, and
     chains of copies whose ends don't link."""

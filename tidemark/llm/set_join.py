@@ -4,12 +4,15 @@ A document is the set of its distinct 5-word shingles (64-bit hashes). Equal set
 a, b that link share at least T = ceil(0.8 max(a, b)) shingles, so each holds one of the other's a - T + 1 rarest
 ones. That is the split of DivideSkip: the T - 1 most frequent lists can be left out of the merge and only be probed.
 
-1. Frequencies: a fixed-size table of counters over all shingles (SLOTS of them, whatever the input) orders shingles,
-   the frequent ones last. Any one order gives right results; this one keeps common lines and passages out of the merge.
+1. Frequencies: two fixed-size tables of counters (SLOTS and WORD_SLOTS, whatever the input), over all shingles and all words, order
+   shingles: those of unusual counts last, and the others by the product of their words' counts, the rarest words first.
+   Any one order gives right results; this one keeps common lines and passages out of the merge, and out of the prefixes what
+   unrelated texts share by chance, which a table of shingles alone cannot tell once it has fewer slots than the corpus shingles.
 2. Short lists: each class is posted under its rarest shingles. Lists of the same members (near copies share dozens) become
    one that counts as many, before anything is fetched for them. Within a list, pairs whose sizes, places in the order and
-   bitmaps (SHAPE bits set by shingle; an exact lower bound on the symmetric difference) allow a link are joined; only a
-   spanning star of each list's joined members leaves the task.
+   bitmaps allow a link are joined; only a spanning star of each list's joined members leaves the task. Each bit of a bitmap is
+   the parity of the shingles that fall on it, so bits that differ are a lower bound on the symmetric difference, however full the
+   map is; a larger map folds onto a smaller one. It has a bit for two shingles at least, SHAPE bits at least and MOST_SHAPE at most.
 3. Connected pairs make blocks. The sets of a block's members are read from the texts, and within the block each set is
    searched: short lists are merged by counting, candidates are probed for in the long lists by binary search, and those that
    reach the exact overlap are linked.
@@ -43,25 +46,79 @@ SLOTS = 1 << 20
 SLICES = 64
 #: Tasks whose counters meet in one group before the groups do, so that no group's size follows the number of tasks.
 TASKS = 256
-SHAPE = 1024
+#: Slots for words: their counters are a fifth of all counters.
+WORD_SLOTS = 1 << 18
+#: Pairs of sets beyond some 2 MOST_SHAPE shingles all pass the bitmaps, as a filter may only add.
+SHAPE, MOST_SHAPE = 1 << 10, 1 << 14
 CHUNK = 1024
-#: Sets beyond LONG shingles fill the bitmap, so pairs of them must instead meet in SHARED lists; they are posted under
-#: SHARED - 1 more shingles for that. A list with more than CROWD of them joins them all, as a filter may only add.
-LONG, SHARED, CROWD = 1400, 4, 64
 #: Links that a task holds before it reduces them to a spanning star.
 FOLD = 1 << 14
 
 
-def sets_of(texts: list[bytes]) -> Iterator[np.ndarray]:
-    """The sorted distinct shingles of each text."""
+def words_of(texts: list[bytes]) -> Iterator[np.ndarray]:
+    """The word hashes of each text."""
     for start, stop in pieces(texts):
         hashes, ends = word_hashes(texts[start:stop])
         first = 0
         for end in ends:
-            yield np.unique(shingles(hashes[first:end]))
+            yield hashes[first:end]
             first = end
 
 
+def sets_of(texts: list[bytes]) -> Iterator[np.ndarray]:
+    """The sorted distinct shingles of each text."""
+    for hashes in words_of(texts):
+        yield np.unique(shingles(hashes))
+
+
+def slots_of(hashes: np.ndarray, slots: int = SLOTS) -> np.ndarray:
+    return (hashes & np.uint64(slots - 1)).astype(np.int64)
+
+
+def shape_of(found: np.ndarray) -> np.ndarray:
+    """The parity bitmap of a set, as words of 64 bits."""
+    bits = SHAPE
+    while 2 * bits < len(found) and bits < MOST_SHAPE:
+        bits *= 2
+    return np.packbits(np.bincount(slots_of(found >> np.uint64(40), bits), minlength=bits).astype(np.uint8) & 1).view(np.uint64)
+
+
+def folded(shape: np.ndarray, size: int) -> np.ndarray:
+    """A bitmap of `size` words or twice as many, of the same set, as one of `size` words."""
+    return shape if len(shape) == size else shape[:size] ^ shape[size:]
+
+
+class Shapes:
+    """The bitmaps of rows, to be compared pair by pair: those of each size, and those twice as large folded."""
+
+    def __init__(self, shapes: list[np.ndarray]):
+        self.sizes, self.of = np.array([len(s) for s in shapes]), {}
+        for size in np.unique(self.sizes):
+            these = np.flatnonzero((self.sizes == size) | (self.sizes == 2 * size))
+            at = np.zeros(len(shapes), np.int64)
+            at[these] = np.arange(len(these))
+            self.of[size] = at, np.stack([folded(shapes[i], size) for i in these])
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """For each pair, the sizes of which are the same or one twice the other, how many bits differ."""
+        common, out = np.minimum(self.sizes[a], self.sizes[b]), np.empty(len(a), np.int64)
+        for size in np.unique(common):
+            at, rows = self.of[size]
+            pairs = np.flatnonzero(common == size)
+            out[pairs] = np.bitwise_count(rows[at[a[pairs]]] ^ rows[at[b[pairs]]]).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def ranked(hashes: np.ndarray, level: np.ndarray, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct shingles of a text's word hashes, and the place of each in the order: by its level, then by the sum of its
+    words' logarithms. It depends on a shingle's words only, so all texts have one order (equal places are told by hash)."""
+    found, at = np.unique(shingles(hashes), return_index=True)
+    words = rarity[slots_of(hashes, WORD_SLOTS)].astype(np.uint16)
+    k = min(5, len(words))
+    sums = sum((words[j : len(words) - k + 1 + j] for j in range(k)), np.zeros(len(words) - k + 1 if k else 0, np.uint16))
+    return found, (level[slots_of(found)].astype(np.uint16) << np.uint16(11)) + sums[at]
+
+
 def class_of(found: np.ndarray) -> int:
     """The key of a set: two sums over its members, mixed."""
     total = np.sum(mix(found ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64, keepdims=True) * np.uint64(0xD1342543DE82EF95)
@@ -74,16 +131,17 @@ def needed(n: int) -> int:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(SLOTS, np.int64)
-    slot = np.uint64(SLOTS - 1)
+    counts = np.zeros(SLOTS + WORD_SLOTS, np.int64)
+    none = np.empty(0, np.uint64)
     for batch in batches:
         texts = texts_of(batch.column(0))
         for start, stop in pieces(texts, 8 << 20):
-            found = np.concatenate([*sets_of(texts[start:stop]), np.empty(0, np.uint64)])
-            counts += np.bincount((found & slot).astype(np.int64), minlength=SLOTS)
+            words = [*words_of(texts[start:stop]), none]
+            counts[:SLOTS] += np.bincount(slots_of(np.concatenate([np.unique(shingles(w)) for w in words])), minlength=SLOTS)
+            counts[SLOTS:] += np.bincount(slots_of(np.concatenate(words), WORD_SLOTS), minlength=WORD_SLOTS)
     if counts.any():
-        parts = np.minimum(counts, 2**32 - 1).astype("<u4").reshape(SLICES, -1)
-        yield pa.RecordBatch.from_pydict({"slice": pa.array(range(SLICES), pa.int32()), "counts": pa.array([p.tobytes() for p in parts], pa.binary())})
+        parts = np.minimum(counts, 2**32 - 1).astype("<u4").reshape(-1, SLOTS // SLICES)
+        yield pa.RecordBatch.from_pydict({"slice": pa.array(range(len(parts)), pa.int32()), "counts": pa.array([p.tobytes() for p in parts], pa.binary())})
 
 
 def _summed(key: tuple, parts: pa.Table) -> pa.Table:
@@ -92,16 +150,17 @@ def _summed(key: tuple, parts: pa.Table) -> pa.Table:
 
 
 def frequency_levels(docs: DataFrame) -> np.ndarray:
-    """For each slot how many times its shingles exceed twice the usual slot, as a power of two (0: they don't).
-    What comes to the driver is SLOTS numbers, however large the corpus; tasks' counters are summed TASKS at a time first."""
+    """For each slot how many times its shingles exceed twice the usual slot, as a power of two (0: they don't), then for each slot
+    of words the logarithm of their count, in sixths of a power of two.
+    What comes to the driver is SLOTS and WORD_SLOTS numbers, however large the corpus; tasks' counters are summed TASKS at a time first."""
     parts = docs.select("text").mapInArrow(_counted, "slice int, counts binary").withColumn("some", F.floor(F.spark_partition_id() / TASKS).cast("int"))
     some = parts.groupBy("some", "slice").applyInArrow(_summed, "slice int, counts binary")
-    counts = np.zeros((SLICES, SLOTS // SLICES))
+    counts = np.zeros(((SLOTS + WORD_SLOTS) * SLICES // SLOTS, SLOTS // SLICES))
     for r in some.groupBy("slice").applyInArrow(_summed, "slice int, counts binary").collect():
         counts[r[0]] = np.frombuffer(r[1], "<u4")
-    counts = counts.ravel()
+    counts, words = np.split(counts.ravel(), [SLOTS])
     usual = max(4.0, 2 * float(np.median(counts)))
-    return np.ceil(np.log2(np.maximum(counts / usual, 1))).astype(np.uint8)
+    return np.concatenate([np.ceil(np.log2(np.maximum(counts / usual, 1))), np.rint(6 * np.log2(1 + words))]).astype(np.uint8)
 
 
 SUMMARY = "doc_id long, row long, cls long, n long, prefix array<long>, usual int, bits binary"
@@ -118,23 +177,20 @@ def summaries(docs: DataFrame, levels: np.ndarray) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(levels.tobytes())
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = np.frombuffer(held.value, np.uint8)
+        level, rarity = np.split(np.frombuffer(held.value, np.uint8), [SLOTS])
         for batch in batches:
             texts = texts_of(batch.column("text"))
             keys, sizes, prefixes, usual, bits = [], [], [], [], []
-            for found in sets_of(texts):
+            for hashes in words_of(texts):
+                found, places = ranked(hashes, level, rarity)
                 n = len(found)
-                levels_of = level[(found & np.uint64(SLOTS - 1)).astype(np.int64)]
-                order = np.lexsort((found, levels_of))
+                order = np.argsort(places, kind="stable")
                 keys.append(class_of(found))
                 sizes.append(n)
-                more = SHARED - 1 if n > LONG else 0
-                order = order[: n - needed(n) + 1 + more if n else 0]
+                order = order[: n - needed(n) + 1 if n else 0]
                 prefixes.append(found[order].view(np.int64))
-                usual.append(int(np.count_nonzero(levels_of[order] == 0)))
-                shape = np.zeros(SHAPE, np.uint8)
-                shape[(found >> np.uint64(40)) % np.uint64(SHAPE)] = 1
-                bits.append(np.packbits(shape).tobytes())
+                usual.append(int(np.count_nonzero(places[order] < 1 << 11)))
+                bits.append(shape_of(found).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("row"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(usual, pa.int32()), pa.array(bits, pa.binary())],
                 ["doc_id", "row", "cls", "n", "prefix", "usual", "bits"],
@@ -216,18 +272,15 @@ def first_of(*columns: np.ndarray) -> np.ndarray:
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs in each list that sizes, places and bitmaps allow, as stars that count SHARED, and pairs of long sets as one
-    for each of the lists that it stands for. Rows: token, lo, hi, chunk, label, cls, n, rest (the shingles from this one on, in
-    the list where they are most), times (the lists it stands for), bits."""
+    """The pairs in each list that sizes, places and bitmaps allow, as stars: fewer rows than come in, whatever the lists.
+    Rows: token, lo, hi, chunk, label, cls, n, rest (the shingles from this one on, in the list where they are most), bits."""
     for t in grouped(batches, ["token", "lo", "hi"], 8192):
         rows = t.num_rows
-        token, lo, hi, chunk, label, cls, n, rest, times = (t.column(c).to_numpy() for c in ("token", "lo", "hi", "chunk", "label", "cls", "n", "rest", "times"))
-        bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(rows, -1)
+        token, lo, hi, chunk, label, cls, n, rest = (t.column(c).to_numpy() for c in ("token", "lo", "hi", "chunk", "label", "cls", "n", "rest"))
+        bits = Shapes([np.frombuffer(b, np.uint64) for b in t.column("bits").to_pylist()])
         first = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
         group = np.repeat(np.arange(len(first)), np.diff(np.r_[first, rows]))
         stop = np.r_[first[1:], rows][group]
-        crowd = np.add.reduceat((n > LONG).astype(np.int64), first)[group]
-        counted = (n > LONG) & (crowd <= CROWD)
         left = np.arange(rows)
         found = Stars(rows, first_of(group, label))
         step = 0
@@ -237,22 +290,15 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             right = left + step
             ok = (lo[left] == hi[left]) | (chunk[left] != chunk[right])
             ok &= 100 * np.minimum(n[left], n[right]) >= PERCENT * np.maximum(n[left], n[right])
-            both = counted[left] & (n[right] > LONG)
             # At the first shingle in common no more are shared than either has from there on.
-            ok &= both | ((100 + PERCENT) * np.minimum(rest[left], rest[right]) >= PERCENT * (n[left] + n[right]))
-            # What is connected already needs no link, but where lists are counted.
-            ok &= (found.label[left] != found.label[right]) | (both & (label[left] != label[right]))
+            ok &= (100 + PERCENT) * np.minimum(rest[left], rest[right]) >= PERCENT * (n[left] + n[right])
+            # What is connected already needs no link.
+            ok &= found.label[left] != found.label[right]
             a, b = left[ok], right[ok]
-            apart = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
-            ok = (100 + PERCENT) * apart <= (100 - PERCENT) * (n[a] + n[b])
-            a, b = a[ok], b[ok]
-            both = counted[a] & (n[b] > LONG)
-            if both.any():
-                x, y = cls[a[both]], cls[b[both]]
-                yield pa.RecordBatch.from_pydict({"a": np.maximum(x, y), "b": np.minimum(x, y), "n": np.minimum(times[a[both]], times[b[both]])})
-            found.add(a[~both], b[~both])
+            ok = (100 + PERCENT) * bits.apart(a, b) <= (100 - PERCENT) * (n[a] + n[b])
+            found.add(a[ok], b[ok])
         if len(far := found.fold()):
-            yield pa.RecordBatch.from_pydict({"a": cls[far], "b": cls[found.label[far]], "n": np.full(len(far), SHARED, np.int64)})
+            yield pa.RecordBatch.from_pydict({"a": cls[far], "b": cls[found.label[far]]})
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -369,23 +415,19 @@ def near_links(classes: DataFrame) -> DataFrame:
     usual = posted(F.slice("prefix", 1, F.col("usual")), F.lit(0))
     usual = usual.withColumns({"_size": F.expr("count(1) OVER (PARTITION BY token)"), "_all": F.expr("bit_xor(xxhash64(cls)) OVER (PARTITION BY token)")}).where("_size > 1")
     # A list of the same members as others goes by their hash. Were two sets of members to have one, the list would join more, which a filter may.
-    usual = usual.groupBy(F.xxhash64("_all", "_size").alias("token"), "cls").agg(F.max("rest").alias("rest"), F.count(F.lit(1)).alias("times"), F.max("_size").alias("_size"))
+    usual = usual.groupBy(F.xxhash64("_all", "_size").alias("token"), "cls").agg(F.max("rest").alias("rest"), F.max("_size").alias("_size"))
     usual = usual.withColumn("chunks", F.expr(f"cast((_size + {CHUNK - 1}) div {CHUNK} AS int)")).drop("_size").withColumn("chunk", F.pmod(F.xxhash64("cls", "token"), "chunks").cast("int"))
-    others = posted(F.slice("prefix", F.col("usual") + 1, F.size("prefix")), F.col("usual")).withColumn("times", F.lit(1).cast("long"))
+    others = posted(F.slice("prefix", F.col("usual") + 1, F.size("prefix")), F.col("usual"))
     lists = staged(usual.unionByName(dealt(others, "token")), "set-lists")
 
     def met(members: DataFrame) -> DataFrame:
-        carried = members.join(classes.select("cls", "n", "bits"), "cls").select("token", "lo", "hi", "chunk", "label", "cls", "n", "rest", "times", "bits")
-        found = together(carried, ["token", "lo", "hi"], _joined, "a long, b long, n long")
-        return staged(found.groupBy("a", "b").agg(F.sum("n").alias("n")), "set-near")
-
-    def enough(near: DataFrame) -> DataFrame:
-        return near.groupBy("a", "b").agg(F.sum("n").alias("n")).where(f"n >= {SHARED}").select("a", "b")
+        carried = members.join(classes.select("cls", "n", "bits"), "cls").select("token", "lo", "hi", "chunk", "label", "cls", "n", "rest", "bits")
+        return staged(together(carried, ["token", "lo", "hi"], _joined, "a long, b long").distinct(), "set-near")
 
     near = met(within(lists))
     if not lists.where("chunks > 1").isEmpty():
-        near = near.unionByName(met(across(lists, components(enough(near)), "token")))
-    return enough(near)
+        near = near.unionByName(met(across(lists, components(near), "token")))
+    return near
 
 
 def classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
