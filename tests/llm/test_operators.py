@@ -233,6 +233,28 @@ def test_set_join(docs):
     assert kept.columns == docs.columns and kept.where("text = 'one'").count() == 1
 
 
+def test_tokenising_asks_in_bounded_calls():
+    """However many words are new at once, the library gets RUNS runs a call, and the ids are those of one call."""
+
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.most = tokenizer, 0
+
+        def encode_batch_fast(self, texts, **how):
+            self.most = max(self.most, len(texts))
+            return self.tokenizer.encode_batch_fast(texts, **how)
+
+        def __getattr__(self, name):
+            return getattr(self.tokenizer, name)
+
+    encoder = token_tables.Encoder(token_tables.vocabulary())
+    encoder.tokenizer = Counting(encoder.tokenizer)
+    text = " ".join(f"word{i}" for i in range(40_000))
+    (ids,) = encoder.encode([text.encode()])
+    assert ids.tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, token_tables.END]
+    assert encoder.tokenizer.most <= 16
+
+
 def test_set_join_bitmaps():
     """Bits that differ never exceed the symmetric difference, over sizes and folds, and unrelated sets of any length are told apart."""
     r = np.random.default_rng(1)

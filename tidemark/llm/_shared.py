@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,27 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Freed memory of this process goes back to the system: Python workers are kept between tasks, and count in the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
+def lean(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """`work` for mapInArrow, after which its worker gives back what it has freed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS, wide: Column | None = None) -> DataFrame:
     """`df` (a staged table) with a broadcast hint if its counted rows are within the bound, and the bytes of its `wide` column, if it
     has one, within BROADCAST_BYTES; else as it is: the join then shuffles, and adaptive execution splits skewed partitions."""

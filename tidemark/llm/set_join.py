@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ._hashing import mix, pieces, shingles, texts_of, word_hashes
 from ._row_filter import maybe_in
-from ._shared import WORD, fresh, spread_join, staged, table
+from ._shared import WORD, fresh, lean, spread_join, staged, table
 
 PERCENT = 80
 SLOTS = 1 << 20
@@ -153,7 +153,7 @@ def frequency_levels(docs: DataFrame) -> np.ndarray:
     """For each slot how many times its shingles exceed twice the usual slot, as a power of two (0: they don't), then for each slot
     of words the logarithm of their count, in sixths of a power of two.
     What comes to the driver is SLOTS and WORD_SLOTS numbers, however large the corpus; tasks' counters are summed TASKS at a time first."""
-    parts = docs.select("text").mapInArrow(_counted, "slice int, counts binary").withColumn("some", F.floor(F.spark_partition_id() / TASKS).cast("int"))
+    parts = docs.select("text").mapInArrow(lean(_counted), "slice int, counts binary").withColumn("some", F.floor(F.spark_partition_id() / TASKS).cast("int"))
     some = parts.groupBy("some", "slice").applyInArrow(_summed, "slice int, counts binary")
     counts = np.zeros(((SLOTS + WORD_SLOTS) * SLICES // SLOTS, SLOTS // SLICES))
     for r in some.groupBy("slice").applyInArrow(_summed, "slice int, counts binary").collect():
@@ -196,7 +196,7 @@ def summaries(docs: DataFrame, levels: np.ndarray) -> DataFrame:
                 ["doc_id", "row", "cls", "n", "prefix", "usual", "bits"],
             )
 
-    return docs.select("doc_id", "text", row_key().alias("row")).mapInArrow(summarise, SUMMARY)
+    return docs.select("doc_id", "text", row_key().alias("row")).mapInArrow(lean(summarise), SUMMARY)
 
 
 def grouped(batches: Iterator[pa.RecordBatch], keys: list[str], size: int) -> Iterator[pa.Table]:
@@ -402,7 +402,7 @@ def across(members: DataFrame, labels: DataFrame, key: str) -> DataFrame:
 
 def together(df: DataFrame, by: list[str], work: Callable, schema: str) -> DataFrame:
     """`work` over partitions in which rows of one `by` are neighbours."""
-    return df.repartition(*by).sortWithinPartitions(*by).mapInArrow(work, schema)
+    return df.repartition(*by).sortWithinPartitions(*by).mapInArrow(lean(work), schema)
 
 
 def near_links(classes: DataFrame) -> DataFrame:
@@ -458,7 +458,7 @@ def classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             kinds = {"cls": pa.int64(), "block": pa.int64(), "chunk": pa.int32(), "chunks": pa.int32()}
             yield pa.RecordBatch.from_arrays([*[pa.array([r[c] for r in rows], t) for c, t in kinds.items()], pa.array(sets, pa.list_(pa.int64()))], [*kinds, "found"])
 
-    sets = staged(texts.mapInArrow(found, "cls long, block long, chunk int, chunks int, found array<long>"), "set-found")
+    sets = staged(texts.mapInArrow(lean(found), "cls long, block long, chunk int, chunks int, found array<long>"), "set-found")
 
     def met(of: DataFrame) -> DataFrame:
         carried = of.select("block", "lo", "hi", "label", "cls", "found")

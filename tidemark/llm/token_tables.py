@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._hashing import pieces, texts_of
-from ._shared import shared_dir, table
+from ._shared import lean, shared_dir, table
 
 VOCABULARY = "word_bpe_49k.json"
 END = 2
@@ -44,8 +44,10 @@ RESTART = 16
 BLOOM_BITS = 10
 MAGIC = b"TIDESST1"
 FOOTER = struct.Struct("<QQQQQQB8s")
-#: Words whose ids a worker keeps; beyond it the store starts anew.
-KEPT_WORDS = 1 << 20
+#: Words whose ids a worker keeps; beyond it the store starts anew. A word takes some 150 bytes.
+KEPT_WORDS = 1 << 19
+#: Runs of 1024 words that the library encodes in one call: what it returns is many times the size of the ids.
+RUNS = 16
 SEPARATOR = b"\x01"
 #: The vocabulary is lower case and cuts between a letter and what is no letter, so A-Z are folded and a sign that follows
 #: a letter is taken off before words are looked up; that leaves fewer different ones. An apostrophe may belong to the word.
@@ -220,8 +222,8 @@ class Encoder:
         text = f" {SEPARATOR.decode()} "
         joined = [w.decode() for w, ok in zip(words, plain) if ok]
         runs = [text.join([*joined[i : i + 1024], ""]) for i in range(0, len(joined), 1024)]
-        found = self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)
-        ids = np.concatenate([np.empty(0, np.uint32), *(np.array(e.ids, np.uint32) for e in found)])
+        calls = (self.tokenizer.encode_batch_fast(runs[i : i + RUNS], add_special_tokens=False) for i in range(0, len(runs), RUNS))
+        ids = np.concatenate([np.empty(0, np.uint32), *(np.array(e.ids, np.uint32) for found in calls for e in found)])
         cuts = np.flatnonzero(ids == bar)
         counts = np.empty(len(words), np.int64)
         counts[plain] = np.diff(cuts, prepend=-1) - 1
@@ -322,7 +324,7 @@ def write_tables(docs: DataFrame, path: str, vocab: str | None = None, shards: i
 
     spark_schema = "shard int, file string, first_key binary, last_key binary, docs long, tokens long, bytes long"
     manifest = f"{path}/manifest.parquet"
-    ordered.select("doc_id", "text").mapInArrow(write, spark_schema).write.mode("overwrite").parquet(manifest)
+    ordered.select("doc_id", "text").mapInArrow(lean(write), spark_schema).write.mode("overwrite").parquet(manifest)
     return spark.read.schema(spark_schema).parquet(manifest)
 
 
@@ -352,7 +354,7 @@ def read_tables(manifest: DataFrame, path: str) -> DataFrame:
                 if out:
                     yield pa.RecordBatch.from_pylist(out, DOCUMENT_ARROW)
 
-    return starts.repartition(n, "shard").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return starts.repartition(n, "shard").mapInArrow(lean(read), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 DOCUMENT_ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
