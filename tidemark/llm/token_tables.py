@@ -17,6 +17,7 @@ again. Only a row for each shard goes to the manifest.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -34,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._hashing import pieces, texts_of
+from ._hashing import IS_SPACE, pieces, texts_of
 from ._shared import lean, shared_dir, table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -51,9 +52,16 @@ RUNS = 16
 SEPARATOR = b"\x01"
 #: The vocabulary is lower case and cuts between a letter and what is no letter, so A-Z are folded and a sign that follows
 #: a letter is taken off before words are looked up; that leaves fewer different ones. An apostrophe may belong to the word.
-MARK = re.compile(rb"([!-&(-/:-@\[-`{-~])(?<=[a-z].)")
+IS_MARK, IS_LETTER = np.zeros(256, bool), np.zeros(256, bool)
+IS_MARK[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'"]] = True
+IS_LETTER[ord("a") : ord("z") + 1] = True
 #: Texts with this may hold a special token, which is found in the text as it stands.
 SPECIAL = b"<|"
+#: Words of lower-case letters that no normal form and no case changes (a-z and those of Latin-1), in UTF-8.
+LETTERS = re.compile(rb"[a-z]*(?:\xc3[\x9f-\xb6\xb8-\xbf][a-z]*)*").fullmatch
+#: What word_bpe_49k.json does to a text before its merges: such a word is always one piece, as it stands.
+NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+PIECES = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
 
 
 def key_of(doc_id: int | None) -> bytes:
@@ -183,6 +191,23 @@ class Shard:
         return found
 
 
+def words_of(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The words of all texts in order, as they are looked up, and each text's number of them."""
+    plain = [SPECIAL not in t for t in texts]
+    data = np.frombuffer(b" ".join([*(t.lower() if ok else t for t, ok in zip(texts, plain)), b""]), np.uint8)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    cut = IS_MARK[data]
+    cut[0] = False
+    cut[1:] &= IS_LETTER[data[:-1]]
+    for i in np.flatnonzero(~np.array(plain)):
+        cut[ends[i] - len(texts[i]) - 1 : ends[i]] = False
+    space = IS_SPACE[data]
+    first = ~space
+    first[1:] &= space[:-1]
+    counts = np.diff(np.searchsorted(np.flatnonzero(first | cut), ends), prepend=0)
+    return np.insert(data, np.flatnonzero(cut), ord(" ")).tobytes().split(), counts
+
+
 class Encoder:
     """encode(texts) -> ids of each, the end id last. It serves lower-casing vocabularies whose merges stay within
     runs of letters, digits or other signs, as word_bpe_49k.json. The tokenizer's merges never cross white space, so a word's
@@ -194,8 +219,28 @@ class Encoder:
 
         self.tokenizer, self.end = Tokenizer.from_file(path), end
         (self.bar,) = self.tokenizer.encode(SEPARATOR.decode(), add_special_tokens=False).ids
+        self.letters, self.is_last = self._of_letters()
         self.clear()
 
+    def _of_letters(self):
+        """The tokenizer without its steps before the merges (it shares the model), for words of LETTERS, and which of its ids
+        end a word; (None, None) if this tokenizer does other steps, or has no mark for the end of a word."""
+        from tokenizers import Tokenizer, models, pre_tokenizers
+
+        model, steps = self.tokenizer.model, (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)
+        bytewise = {"add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        known = [{"type": "Sequence", "normalizers": NORMALIZER}, {"type": "Sequence", "pretokenizers": [PIECES, {"type": "ByteLevel"} | bytewise]}]
+        if [x and json.loads(x.__getstate__()) for x in steps] != known or not isinstance(model, models.BPE) or model.dropout or not model.end_of_word_suffix:
+            return None, None
+        vocab, suffix = self.tokenizer.get_vocab(with_added_tokens=False), model.end_of_word_suffix
+        if not all(c in vocab and c + suffix in vocab for c in pre_tokenizers.ByteLevel.alphabet()):
+            return None, None
+        letters = Tokenizer(model)
+        letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(**bytewise)])
+        is_last = np.zeros(max(vocab.values()) + 1, bool)
+        is_last[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+        return letters, is_last
+
     def clear(self) -> None:
         self.known: dict[bytes, int] = {}
         self.flat, self.size = np.empty(1 << 16, np.uint32), 0
@@ -206,8 +251,17 @@ class Encoder:
         return array if n <= len(array) else np.resize(array, max(n, 2 * len(array)))
 
     def _learn(self, words: list[bytes]) -> None:
+        """Most words are of letters: the library spends more on the steps before the merges than on the merges."""
+        simple, others = [], []
+        for w in words:
+            (simple if self.letters and LETTERS(w) else others).append(w)
+        if simple:
+            self._keep(simple, *self._encoded_letters(simple))
+        if others:
+            self._keep(others, *self._encoded(others))
+
+    def _keep(self, words: list[bytes], flat: np.ndarray, counts: np.ndarray) -> None:
         first = len(self.known)
-        flat, counts = self._encoded(words)
         self.flat = self._room(self.flat, self.size + len(flat))
         self.counts = self._room(self.counts, first + len(words))
         self.flat[self.size : self.size + len(flat)] = flat
@@ -215,6 +269,17 @@ class Encoder:
         self.size += len(flat)
         self.known.update(zip(words, range(first, first + len(words))))
 
+    @staticmethod
+    def _called(tokenizer, runs: list[str]) -> np.ndarray:
+        """The ids of all runs, RUNS of them a call."""
+        calls = (tokenizer.encode_batch_fast(runs[i : i + RUNS], add_special_tokens=False) for i in range(0, len(runs), RUNS))
+        return np.concatenate([np.empty(0, np.uint32), *(np.array(e.ids, np.uint32) for found in calls for e in found)])
+
+    def _encoded_letters(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As _encoded, for words of LETTERS; each is one piece, whose last id tells that it ends."""
+        ids = self._called(self.letters, [b" ".join(words[i : i + 1024]).decode() for i in range(0, len(words), 1024)])
+        return ids, np.diff(np.flatnonzero(self.is_last[ids]), prepend=-1)
+
     def _encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words one after another, and how many each has. Many are encoded in one call, with a word
         between them whose single id none of them can give."""
@@ -222,8 +287,7 @@ class Encoder:
         text = f" {SEPARATOR.decode()} "
         joined = [w.decode() for w, ok in zip(words, plain) if ok]
         runs = [text.join([*joined[i : i + 1024], ""]) for i in range(0, len(joined), 1024)]
-        calls = (self.tokenizer.encode_batch_fast(runs[i : i + RUNS], add_special_tokens=False) for i in range(0, len(runs), RUNS))
-        ids = np.concatenate([np.empty(0, np.uint32), *(np.array(e.ids, np.uint32) for found in calls for e in found)])
+        ids = self._called(self.tokenizer, runs)
         cuts = np.flatnonzero(ids == bar)
         counts = np.empty(len(words), np.int64)
         counts[plain] = np.diff(cuts, prepend=-1) - 1
@@ -249,7 +313,7 @@ class Encoder:
             if len(self.known) + len(new) > KEPT_WORDS:
                 self.clear()
                 new, unknown = set(words), np.arange(len(words))
-            self._learn(sorted(new))
+            self._learn(list(new))
             at[unknown] = self._places([words[i] for i in unknown])
         counts = self.counts[: len(self.known)]
         n, first = counts[at], (np.cumsum(counts) - counts)[at]
@@ -258,12 +322,11 @@ class Encoder:
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """The ids of each text, taken together in pieces of bounded size."""
         for start, stop in pieces(texts):
-            split = [(t if SPECIAL in t else MARK.sub(rb" \1", t.lower())).split() for t in texts[start:stop]]
-            words = [w for ws in split for w in ws]
+            words, n_words = words_of(texts[start:stop])
             found = [self._ids(words[i : i + KEPT_WORDS]) for i in range(0, len(words), KEPT_WORDS)]
             ids = np.concatenate([np.empty(0, np.uint32), *(f[0] for f in found)])
             ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.concatenate([np.empty(0, np.int64), *(f[1] for f in found)]))])
-            at = ends[np.cumsum([0, *map(len, split)])]
+            at = ends[np.cumsum([0, *n_words])]
             for i, j in zip(at[:-1], at[1:]):
                 yield np.append(ids[i:j], np.uint32(self.end))
 
